@@ -44,38 +44,42 @@ def _parse(text: Column) -> Column:
     return F.try_to_date(text, DATE_TEXT_FORMAT)
 
 
-def _rebuild(c: Column, layout: str, template: str) -> Column:
-    """Rewrite the matched text with ``$n`` group references, then parse it."""
-    return _parse(F.regexp_replace(c, DATE_LAYOUTS[layout], template))
+def _groups(c: Column, layout: str, *groups: int) -> Column:
+    """``dd.MM.yyyy`` text rebuilt from the layout's groups."""
+    pattern = DATE_LAYOUTS[layout]
+    return F.concat_ws(".", *[F.regexp_extract(c, pattern, g) for g in groups])
 
 
-def event_date_bounds(c: Column | str, layout: Column | str) -> tuple[Column, Column]:
-    """(start, end) dates for an event-date text and its layout name."""
-    c, layout = as_col(c), as_col(layout)
-
-    single = _parse(c)
-    same_start = _rebuild(c, "date_range_same_month", "$1.$3.$4")
-    same_end = _rebuild(c, "date_range_same_month", "$2.$3.$4")
+def event_date_bounds(c: Column | str) -> tuple[Column, Column]:
+    """(start, end) dates of an event-date text.
 
+    Each bound is one ``CASE`` over the layout patterns: a text is parsed only
+    under the layout it matches (a failed ``try_to_date`` costs a caught
+    exception inside the JVM, several times a successful parse).  The layout
+    column itself is not referenced, which keeps the expression small once
+    Catalyst inlines it into the pushed-down rule filter.
+    """
+    c = as_col(c)
     diff_month = DATE_LAYOUTS["date_range_different_month"]
     start_month = F.regexp_extract(c, diff_month, 2).try_cast("int")
     end_month = F.regexp_extract(c, diff_month, 4).try_cast("int")
     end_year = F.regexp_extract(c, diff_month, 5).try_cast("int")
-    start_year = F.when(start_month > end_month, end_year - 1).otherwise(end_year)
-    month_start = _parse(F.concat(F.regexp_replace(c, diff_month, "$1.$2."), start_year.cast("string")))
-    month_end = _rebuild(c, "date_range_different_month", "$3.$4.$5")
-
-    year_start = _rebuild(c, "date_range_different_year", "$1.$2.$3")
-    year_end = _rebuild(c, "date_range_different_year", "$4.$5.$6")
-
-    start = (F.when(layout == "single_date", single)
-             .when(layout == "date_range_same_month", same_start)
-             .when(layout == "date_range_different_month", month_start)
-             .when(layout == "date_range_different_year", year_start))
-    end = (F.when(layout == "single_date", single)
-           .when(layout == "date_range_same_month", same_end)
-           .when(layout == "date_range_different_month", month_end)
-           .when(layout == "date_range_different_year", year_end))
+    # Start year rolls back one year when the start month is later (Dec -> Jan).
+    start_year = end_year - F.when(start_month > end_month, 1).otherwise(0)
+    month_start = F.concat_ws(".", F.regexp_extract(c, diff_month, 1), F.regexp_extract(c, diff_month, 2),
+                              start_year.cast("string"))
+
+    def by_layout(single, same, month, year):
+        return (F.when(c.rlike(DATE_LAYOUTS["single_date"]), _parse(single))
+                .when(c.rlike(DATE_LAYOUTS["date_range_same_month"]), _parse(same))
+                .when(c.rlike(diff_month), _parse(month))
+                .when(c.rlike(DATE_LAYOUTS["date_range_different_year"]), _parse(year)))
+
+    start = by_layout(c, _groups(c, "date_range_same_month", 1, 3, 4), month_start,
+                      _groups(c, "date_range_different_year", 1, 2, 3))
+    end = by_layout(c, _groups(c, "date_range_same_month", 2, 3, 4),
+                    _groups(c, "date_range_different_month", 3, 4, 5),
+                    _groups(c, "date_range_different_year", 4, 5, 6))
     return start, end
 
 

@@ -40,23 +40,26 @@ def _part(text: Column, pattern: str, group: int) -> Column:
     return F.regexp_extract(text, pattern, group).try_cast("int")
 
 
-def duration_seconds(c: Column | str, performance_type: Column | str) -> Column:
-    """``H+:MM:SS h`` and ``Dd HH:MM:SS h`` -> whole seconds (else NULL)."""
+def duration_seconds(c: Column | str) -> Column:
+    """``H+:MM:SS h`` and ``Dd HH:MM:SS h`` -> whole seconds (else NULL).
+
+    Each layout is tested on the text itself (no reference to the type column),
+    and parts are extracted only under the matching layout.
+    """
     text = F.trim(as_col(c))
-    t = as_col(performance_type)
     hms = (_part(text, TIME_HOURS, 1) * 3600 + _part(text, TIME_HOURS, 2) * 60
            + _part(text, TIME_HOURS, 3))
     dhms = (_part(text, TIME_DAYS_HOURS, 1) * 86400 + _part(text, TIME_DAYS_HOURS, 2) * 3600
             + _part(text, TIME_DAYS_HOURS, 3) * 60 + _part(text, TIME_DAYS_HOURS, 4))
-    return F.when(t == "time_hours", hms).when(t == "time_days_hours", dhms)
+    return F.when(text.rlike(TIME_HOURS), hms).when(text.rlike(TIME_DAYS_HOURS), dhms)
 
 
-def performance_distance(c: Column | str, performance_type: Column | str) -> Column:
+def performance_distance(c: Column | str) -> Column:
     """``x km`` / ``x mi`` -> x as double, unit kept (miles are not converted)."""
     text = F.trim(as_col(c))
-    t = as_col(performance_type)
-    return (F.when(t == "distance_km", F.regexp_extract(text, DISTANCE_KM, 1).try_cast("double"))
-            .when(t == "distance_mi", F.regexp_extract(text, DISTANCE_MI, 1).try_cast("double")))
+    # Gated by the pattern: casting '' to double fails through a caught exception.
+    return (F.when(text.rlike(DISTANCE_KM), F.regexp_extract(text, DISTANCE_KM, 1).try_cast("double"))
+            .when(text.rlike(DISTANCE_MI), F.regexp_extract(text, DISTANCE_MI, 1).try_cast("double")))
 
 
 def performance_unit(performance_type: Column | str) -> Column:

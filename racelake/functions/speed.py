@@ -14,25 +14,25 @@ SPEED_MAX_KMH = 50
 RAW_SPEED_SCALE_LIMIT = 1000
 
 
+def _to_km(unit: Column) -> Column:
+    return F.when(unit == "km", F.lit(1.0)).when(unit == "mi", F.lit(KM_PER_MILE))
+
+
 def average_speed_kmh(distance_value: Column | str, distance_unit: Column | str,
                       seconds: Column | str, perf_distance: Column | str,
                       perf_unit: Column | str) -> Column:
     """km/h, rounded half-up to 3 decimals.
 
-    Distance events: event distance (miles converted) over performance hours.
-    Fixed-time events: covered distance (miles converted) over event hours.
-    ``try_divide`` turns a zero time into NULL instead of an ANSI error.
+    Distance events (km, mi): event distance in km over performance hours.
+    Fixed-time events (h): covered distance in km over event hours.
+    Miles convert with 1.60934 (kilometres multiply by exactly 1.0, which leaves
+    the double unchanged).  ``try_divide`` turns a zero time into NULL instead
+    of an ANSI error; any missing input gives NULL.
     """
     value, unit = as_col(distance_value), as_col(distance_unit)
     secs, covered, cov_unit = as_col(seconds), as_col(perf_distance), as_col(perf_unit)
-    hours = secs / 3600
-    speed = (
-        F.when((unit == "km") & secs.isNotNull(), F.try_divide(value, hours))
-        .when((unit == "mi") & secs.isNotNull(), F.try_divide(value * KM_PER_MILE, hours))
-        .when((unit == "h") & (cov_unit == "km") & covered.isNotNull(), F.try_divide(covered, value))
-        .when((unit == "h") & (cov_unit == "mi") & covered.isNotNull(),
-              F.try_divide(covered * KM_PER_MILE, value))
-    )
+    speed = (F.when(unit.isin("km", "mi"), F.try_divide(value * _to_km(unit), secs / 3600))
+             .when(unit == "h", F.try_divide(covered * _to_km(cov_unit), value)))
     return F.round(speed, SPEED_DECIMALS)
 
 

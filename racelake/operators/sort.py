@@ -25,3 +25,15 @@ def top_k(df: DataFrame, specs, k: int) -> DataFrame:
     keeps only its own k best rows, so nothing beyond k rows per task moves.
     Give a unique tie-breaker last so the k rows are well defined."""
     return df.orderBy(*[_sort_col(s) for s in specs]).limit(k)
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin a DataFrame over the cluster's cores when it arrives in fewer
+    partitions than cores (a small input held in one or two unsplittable
+    files) and the next stage is CPU-bound.  On large inputs the scan already
+    has far more splits than cores and this is a no-op, so no shuffle is added
+    at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

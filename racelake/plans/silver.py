@@ -21,6 +21,7 @@ from racelake.functions import athlete, dates, distance, keys, performance, spee
 from racelake.functions.columns import snake_case_columns
 from racelake.operators.filters import consistent
 from racelake.operators.joins import enrich
+from racelake.operators.sort import spread_small_input
 
 # The columns a result is deduplicated on.
 DEDUP_COLUMNS = [
@@ -79,16 +80,14 @@ def silver_columns(raw: DataFrame) -> DataFrame:
         "athlete_gender": athlete.normalize_code("athlete_gender"),
         "athlete_id": c("athlete_id").cast("int"),
     })
-    start, end = dates.event_date_bounds("event_dates", "event_date_format_type")
+    start, end = dates.event_date_bounds("event_dates")
     df = df.withColumns({
         "event_start_date": start,
         "event_end_date": end,
-        "event_distance_length": distance.standardize_distance("event_distance_length", DISTANCE_CLASS),
+        "event_distance_length": distance.standardize_distance("event_distance_length"),
         "event_distance_type": distance.standardize_distance_type(DISTANCE_CLASS),
-        "athlete_performance_seconds": performance.duration_seconds(
-            "athlete_performance", "athlete_performance_type"),
-        "athlete_performance_distance": performance.performance_distance(
-            "athlete_performance", "athlete_performance_type"),
+        "athlete_performance_seconds": performance.duration_seconds("athlete_performance"),
+        "athlete_performance_distance": performance.performance_distance("athlete_performance"),
         "athlete_performance_unit": performance.performance_unit("athlete_performance_type"),
         "athlete_age_at_event": athlete.age_at_event("year_of_event", "athlete_year_of_birth"),
     })
@@ -165,7 +164,7 @@ def build_silver(raw: DataFrame, lookup: DataFrame) -> DataFrame:
     a hash aggregate with map-side partial dedup; keys are hashed after dedup so
     SHA-256 runs once per surviving row.
     """
-    rows = enrich_country(valid_rows(raw), lookup)
+    rows = enrich_country(valid_rows(spread_small_input(raw)), lookup)
     base = [c for c in SILVER_COLUMNS if c not in ("event_id", "result_id")]
     return add_keys(rows.select(*base).distinct()).select(*SILVER_COLUMNS)
 

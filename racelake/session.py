@@ -21,7 +21,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # The silver rule filter inlines every parser once Catalyst pushes it below
+    # the projections; a generated method that large is never JIT-compiled by
+    # HotSpot (limit 8000 bytes of bytecode).  Spark then compiles such stages
+    # operator by operator instead of running them interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
