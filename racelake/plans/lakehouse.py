@@ -36,8 +36,9 @@ class Lakehouse:
         self._builders = {
             "bronze_results": lambda: race_results_raw(spark, self.sf_dir),
             "bronze_country_codes": lambda: country_lookup_raw(spark, self.sf_dir),
-            "silver_obt": lambda: silver_plan.build_silver(self.table("bronze_results"),
-                                                           self.table("bronze_country_codes")),
+            "silver_candidates": lambda: silver_plan.build_candidates(self.table("bronze_results"),
+                                                                      self.table("bronze_country_codes")),
+            "silver_obt": lambda: silver_plan.dedup_candidates(self.table("silver_candidates")),
             "dim_event": lambda: star.dim_event(self.table("silver_obt")),
             "dim_athlete": lambda: star.dim_athlete(self.table("silver_obt")),
             "dim_country": lambda: star.dim_country(self.table("silver_obt")),

@@ -155,18 +155,28 @@ def add_keys(df: DataFrame) -> DataFrame:
     return df.withColumns({"event_id": keys.event_id(), "result_id": keys.result_id()})
 
 
-def build_silver(raw: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Batch silver OBT (30 columns).
-
-    Deduplication: every silver column is a function of ``DEDUP_COLUMNS`` (the
-    derived ones are parsed from them), so dropping rows that repeat those 15
-    columns equals dropping fully identical rows.  Batch uses ``distinct()``,
-    a hash aggregate with map-side partial dedup; keys are hashed after dedup so
-    SHA-256 runs once per surviving row.
-    """
+def build_candidates(raw: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Valid, enriched and keyed rows before deduplication (30 columns)."""
     rows = enrich_country(valid_rows(spread_small_input(raw)), lookup)
     base = [c for c in SILVER_COLUMNS if c not in ("event_id", "result_id")]
-    return add_keys(rows.select(*base).distinct()).select(*SILVER_COLUMNS)
+    return add_keys(rows.select(*base)).select(*SILVER_COLUMNS)
+
+
+def dedup_candidates(candidates: DataFrame) -> DataFrame:
+    """Batch deduplication of the candidates.
+
+    Every silver column is a function of ``DEDUP_COLUMNS`` (the derived ones
+    are parsed from them, the keys hash them), so dropping rows that repeat
+    those 15 columns equals dropping fully identical rows: ``distinct()`` is a
+    hash aggregate with map-side partial dedup (``dropDuplicates`` on a column
+    subset plans as a sort aggregate of ``first()`` values).
+    """
+    return candidates.distinct()
+
+
+def build_silver(raw: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Batch silver OBT (30 columns)."""
+    return dedup_candidates(build_candidates(raw, lookup))
 
 
 def rejection_counts(raw: DataFrame, lookup: DataFrame) -> DataFrame:

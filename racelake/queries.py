@@ -103,3 +103,543 @@ for _kind in ("km", "mi", "hour"):
 def star_left_preview(spark, sf_dir):
     lake = lakehouse(spark, sf_dir)
     return views.star_left_preview(lake.fact(), lake.dims())
+
+
+# ------------------------------------------------------------ helpers
+
+from racelake.functions import athlete as _ath  # noqa: E402
+from racelake.functions import dates as _dates  # noqa: E402
+from racelake.functions import distance as _dist  # noqa: E402
+from racelake.functions import keys as _keys  # noqa: E402
+from racelake.functions import performance as _perf  # noqa: E402
+from racelake.functions import speed as _speed  # noqa: E402
+from racelake.functions.columns import rename_column, safe_cast, snake_case_columns  # noqa: E402
+from racelake.operators import aggregates as _agg  # noqa: E402
+from racelake.operators import filters as _flt  # noqa: E402
+from racelake.operators.dedup import dedup_results  # noqa: E402
+from racelake.operators.sort import sorted_by, top_k  # noqa: E402
+from racelake.plans import profile as _prof  # noqa: E402
+from racelake.plans import quality as _dq  # noqa: E402
+from racelake.plans import silver as _silver  # noqa: E402
+
+
+def _raw(spark, sf_dir):
+    """Bronze race results, snake_case."""
+    return snake_case_columns(lakehouse(spark, sf_dir).raw())
+
+
+def _derived(spark, sf_dir):
+    """Every silver column derived for every raw row, nothing filtered yet."""
+    return _silver.silver_columns(lakehouse(spark, sf_dir).raw())
+
+
+def _tpch(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+# ------------------------------------------------------------ columns, parsers
+
+@register("snake_case_columns")
+def q_snake_case_columns(spark, sf_dir):
+    return _raw(spark, sf_dir)
+
+
+@register("rename_column")
+def q_rename_column(spark, sf_dir):
+    return rename_column(_tpch(spark, sf_dir, "nation"), "n_name", "nation_name")
+
+
+@register("try_cast_speed")
+def q_try_cast_speed(spark, sf_dir):
+    return _raw(spark, sf_dir).select(
+        "athlete_average_speed", safe_cast("athlete_average_speed", "double").alias("athlete_average_speed_numeric"))
+
+
+@register("classify_date_format")
+def q_classify_date_format(spark, sf_dir):
+    return _raw(spark, sf_dir).select(
+        "event_dates", _dates.classify_date_format("event_dates").alias("event_date_format_type"))
+
+
+@register("parse_event_dates")
+def q_parse_event_dates(spark, sf_dir):
+    r = _raw(spark, sf_dir)
+    start, end = _dates.event_date_bounds("event_dates")
+    return r.select(F.col("event_dates").alias("event_date_raw"),
+                    _dates.classify_date_format("event_dates").alias("event_date_format_type"),
+                    start.alias("event_start_date"), end.alias("event_end_date"))
+
+
+@register("event_duration_days")
+def q_event_duration_days(spark, sf_dir):
+    d = q_parse_event_dates(spark, sf_dir)
+    d = _flt.require_columns(d, ["event_start_date", "event_end_date"])
+    return d.select("event_date_raw", "event_start_date", "event_end_date",
+                    _dates.event_duration_days("event_start_date", "event_end_date").alias("event_duration_days"),
+                    _dates.dates_in_order("event_start_date", "event_end_date").alias("dates_in_order"))
+
+
+@register("filter_valid_dates")
+def q_filter_valid_dates(spark, sf_dir):
+    d = _derived(spark, sf_dir)
+    return _flt.require_columns(d, ["event_start_date", "event_end_date"]).select(
+        "event_date_raw", "event_date_format_type", "event_start_date", "event_end_date")
+
+
+@register("classify_event_distance")
+def q_classify_event_distance(spark, sf_dir):
+    return _raw(spark, sf_dir).select(
+        "event_distance_length", _dist.classify_event_distance("event_distance_length").alias("event_distance_type"))
+
+
+@register("filter_event_type")
+def q_filter_event_type(spark, sf_dir):
+    d = q_classify_event_distance(spark, sf_dir)
+    return _flt.keep_values(d, "event_distance_type", _dist.KEPT_DISTANCE_CLASSES)
+
+
+@register("standardize_distance")
+def q_standardize_distance(spark, sf_dir):
+    d = q_filter_event_type(spark, sf_dir)
+    return d.select(F.col("event_distance_length").alias("event_distance_length_raw"),
+                    _dist.standardize_distance("event_distance_length").alias("event_distance_length"),
+                    _dist.standardize_distance_type("event_distance_type").alias("event_distance_type"))
+
+
+@register("extract_distance_value_unit")
+def q_extract_distance_value_unit(spark, sf_dir):
+    d = q_standardize_distance(spark, sf_dir)
+    return d.select("event_distance_length",
+                    _dist.distance_value("event_distance_length").alias("event_distance_value"),
+                    _dist.distance_unit("event_distance_length").alias("event_distance_unit"))
+
+
+@register("multistage_distance_profile")
+def q_multistage_distance_profile(spark, sf_dir):
+    return _prof.multistage_profile(lakehouse(spark, sf_dir).raw())
+
+
+@register("classify_performance")
+def q_classify_performance(spark, sf_dir):
+    return _raw(spark, sf_dir).select(
+        "athlete_performance", _perf.classify_performance("athlete_performance").alias("athlete_performance_type"))
+
+
+@register("filter_performance_type")
+def q_filter_performance_type(spark, sf_dir):
+    return _flt.drop_values(q_classify_performance(spark, sf_dir), "athlete_performance_type", ["null", "unknown"])
+
+
+@register("parse_duration_seconds")
+def q_parse_duration_seconds(spark, sf_dir):
+    d = _flt.keep_values(q_classify_performance(spark, sf_dir), "athlete_performance_type", _perf.TIME_TYPES)
+    return d.withColumn("athlete_performance_seconds", _perf.duration_seconds("athlete_performance"))
+
+
+@register("parse_performance_distance")
+def q_parse_performance_distance(spark, sf_dir):
+    d = _flt.keep_values(q_classify_performance(spark, sf_dir), "athlete_performance_type", _perf.DISTANCE_TYPES)
+    return d.withColumns({
+        "athlete_performance_distance": _perf.performance_distance("athlete_performance"),
+        "athlete_performance_unit": _perf.performance_unit("athlete_performance_type"),
+    })
+
+
+@register("clean_club")
+def q_clean_club(spark, sf_dir):
+    return _raw(spark, sf_dir).select(F.col("athlete_club").alias("athlete_club_raw"),
+                                      _ath.clean_club("athlete_club").alias("athlete_club"))
+
+
+@register("normalize_codes")
+def q_normalize_codes(spark, sf_dir):
+    return _raw(spark, sf_dir).select(
+        F.col("athlete_country").alias("athlete_country_raw"),
+        _ath.normalize_code("athlete_country").alias("athlete_country"),
+        F.col("athlete_gender").alias("athlete_gender_raw"),
+        _ath.normalize_code("athlete_gender").alias("athlete_gender"))
+
+
+@register("null_sentinel")
+def q_null_sentinel(spark, sf_dir):
+    return _raw(spark, sf_dir).select(
+        F.col("athlete_year_of_birth").alias("athlete_year_of_birth_raw"),
+        _ath.clean_birth_year("athlete_year_of_birth").alias("athlete_year_of_birth"))
+
+
+@register("age_at_event")
+def q_age_at_event(spark, sf_dir):
+    r = _raw(spark, sf_dir).select(
+        "year_of_event", F.col("athlete_year_of_birth").alias("athlete_year_of_birth_raw"),
+        _ath.clean_birth_year("athlete_year_of_birth").alias("athlete_year_of_birth"))
+    return r.withColumn("athlete_age_at_event", _ath.age_at_event("year_of_event", "athlete_year_of_birth"))
+
+
+@register("clean_age_category")
+def q_clean_age_category(spark, sf_dir):
+    return _raw(spark, sf_dir).select(F.col("athlete_age_category").alias("athlete_age_category_raw"),
+                                      _ath.clean_category("athlete_age_category").alias("athlete_age_category"))
+
+
+@register("average_speed_kmh")
+def q_average_speed_kmh(spark, sf_dir):
+    return _derived(spark, sf_dir).select(
+        "event_distance_value", "event_distance_unit", "athlete_performance_seconds",
+        "athlete_performance_distance", "athlete_performance_unit", "athlete_average_speed_kmh")
+
+
+@register("rescale_speed")
+def q_rescale_speed(spark, sf_dir):
+    return _prof.rescaled_speeds(lakehouse(spark, sf_dir).raw())
+
+
+@register("speed_quality_counts")
+def q_speed_quality_counts(spark, sf_dir):
+    return _prof.speed_quality_counts(lakehouse(spark, sf_dir).raw())
+
+
+@register("club_pattern_counts")
+def q_club_pattern_counts(spark, sf_dir):
+    return _prof.club_pattern_counts(lakehouse(spark, sf_dir).raw())
+
+
+@register("gender_label")
+def q_gender_label(spark, sf_dir):
+    a = lakehouse(spark, sf_dir).table("dim_athlete")
+    return a.select("athlete_id", "athlete_gender", _ath.gender_label("athlete_gender").alias("gender"))
+
+
+@register("age_group_label")
+def q_age_group_label(spark, sf_dir):
+    a = lakehouse(spark, sf_dir).table("dim_athlete")
+    label, sort = _ath.age_group_label("athlete_age_category")
+    return a.select("athlete_id", "athlete_age_category", label.alias("age_group"), sort.alias("age_group_sort"))
+
+
+@register("surrogate_event_id")
+def q_surrogate_event_id(spark, sf_dir):
+    s = lakehouse(spark, sf_dir).silver()
+    return s.select("event_name", "event_distance_length", _keys.event_id().alias("event_id")).distinct()
+
+
+@register("surrogate_result_id")
+def q_surrogate_result_id(spark, sf_dir):
+    s = lakehouse(spark, sf_dir).silver()
+    return s.select(*_keys.RESULT_KEY_COLUMNS, _keys.result_id().alias("result_id"))
+
+
+# ------------------------------------------------------------ filters
+
+@register("filter_finishers")
+def q_filter_finishers(spark, sf_dir):
+    return _flt.keep_positive(_raw(spark, sf_dir), "event_number_of_finishers").select(
+        "event_name", "event_number_of_finishers")
+
+
+@register("filter_unit_consistency")
+def q_filter_unit_consistency(spark, sf_dir):
+    return _flt.keep_consistent(_derived(spark, sf_dir), "event_distance_unit", "athlete_performance_type",
+                                _silver.UNIT_PERFORMANCE_PAIRS).select(
+        "event_distance_length", "event_distance_unit", "athlete_performance", "athlete_performance_type")
+
+
+@register("filter_speed_range")
+def q_filter_speed_range(spark, sf_dir):
+    return _flt.keep_range(_derived(spark, sf_dir), "athlete_average_speed_kmh", 0, _speed.SPEED_MAX_KMH).select(
+        "event_distance_length", "athlete_performance", "athlete_average_speed_kmh")
+
+
+@register("filter_required_fields")
+def q_filter_required_fields(spark, sf_dir):
+    cols = ["athlete_country", "athlete_gender", "athlete_year_of_birth", "athlete_age_at_event"]
+    return _flt.require_columns(_derived(spark, sf_dir), cols).select("athlete_id", *cols)
+
+
+@register("regex_match_filter")
+def q_regex_match_filter(spark, sf_dir):
+    return _flt.keep_matching(_raw(spark, sf_dir), "event_dates", _dates.DATE_LAYOUTS["single_date"]).select(
+        "event_dates")
+
+
+@register("substring_predicates")
+def q_substring_predicates(spark, sf_dir):
+    r = _raw(spark, sf_dir)
+    c = F.col("event_distance_length")
+    return (r.filter(c.contains("Etappen") | c.endswith("d"))
+            .select("event_distance_length", c.contains("Etappen").alias("contains_etappen"),
+                    c.endswith("d").alias("ends_with_d")))
+
+
+@register("missing_or_sentinel")
+def q_missing_or_sentinel(spark, sf_dir):
+    r = _raw(spark, sf_dir)
+    found = r.filter(F.col("athlete_year_of_birth").isNull() | (F.col("athlete_year_of_birth") == 1193))
+    return sorted_by(found.drop("event_number_of_finishers"), [("athlete_year_of_birth", "asc_nulls_first")])
+
+
+@register("dq_unit_mismatch_rows")
+def q_dq_unit_mismatch_rows(spark, sf_dir):
+    d = _derived(spark, sf_dir)
+    earlier = (F.col("event_start_date").isNotNull() & F.col("event_end_date").isNotNull()
+               & F.col(_silver.DISTANCE_CLASS).isin(*_dist.KEPT_DISTANCE_CLASSES)
+               & (F.col("event_number_of_finishers") > 0)
+               & ~F.col("athlete_performance_type").isin("null", "unknown"))
+    return _dq.unit_mismatch_rows(d.filter(earlier)).select(
+        "event_distance_length", "event_distance_unit", "athlete_performance", "athlete_performance_type")
+
+
+@register("dq_year_out_of_range")
+def q_dq_year_out_of_range(spark, sf_dir):
+    return _flt.rows_outside(_raw(spark, sf_dir), "year_of_event", 1798, 2022)
+
+
+@register("speed_outlier_bands")
+def q_speed_outlier_bands(spark, sf_dir):
+    return _prof.speed_outlier_bands(lakehouse(spark, sf_dir).raw())
+
+
+@register("dq_blank_text")
+def q_dq_blank_text(spark, sf_dir):
+    return _prof.blank_text_counts(lakehouse(spark, sf_dir).raw(),
+                                   ["event_name", "event_distance_length", "athlete_club"])
+
+
+# ------------------------------------------------------------ joins and keys
+
+@register("enrich_country")
+def q_enrich_country(spark, sf_dir):
+    lake = lakehouse(spark, sf_dir)
+    rows = _silver.enrich_country(_silver.valid_rows(lake.raw()), lake.lookup())
+    return rows.select("athlete_id", "athlete_country", "country_code_iso3", "country_name")
+
+
+def _key_audit(dim_name: str, key: str, out: str):
+    def fn(spark, sf_dir):
+        lake = lakehouse(spark, sf_dir)
+        return _dq.missing_key_count(lake.fact(), lake.table(dim_name), key, out)
+    return fn
+
+
+register("dq_missing_event_keys")(_key_audit("dim_event", "event_id", "missing_event_keys"))
+register("dq_missing_athlete_keys")(_key_audit("dim_athlete", "athlete_id", "missing_athlete_keys"))
+register("dq_missing_country_keys")(_key_audit("dim_country", "country_code_iso3", "missing_country_keys"))
+register("dq_missing_date_keys")(_key_audit("dim_date", "date_id", "missing_date_keys"))
+
+
+@register("dq_duplicate_totals")
+def q_dq_duplicate_totals(spark, sf_dir):
+    return _dq.duplicate_totals(lakehouse(spark, sf_dir).table("silver_candidates"), "result_id")
+
+
+@register("duplicate_rows_detail")
+def q_duplicate_rows_detail(spark, sf_dir):
+    from racelake.operators.joins import rows_with_duplicate_keys
+    c = lakehouse(spark, sf_dir).table("silver_candidates")
+    return sorted_by(rows_with_duplicate_keys(c, "result_id").select(
+        "result_id", "event_id", "year_of_event", "event_name", "event_date_raw", "event_distance_length",
+        "athlete_id", "athlete_country", "country_name", "athlete_performance", "athlete_average_speed",
+        "athlete_average_speed_kmh"), ["result_id", "event_name", "athlete_id"])
+
+
+@register("sample_duplicate_group")
+def q_sample_duplicate_group(spark, sf_dir):
+    return _dq.sample_duplicate_group(lakehouse(spark, sf_dir).table("silver_candidates"))
+
+
+@register("duplicate_column_diff")
+def q_duplicate_column_diff(spark, sf_dir):
+    return _dq.duplicate_column_diff(lakehouse(spark, sf_dir).table("silver_candidates"))
+
+
+@register("duplicate_combinations")
+def q_duplicate_combinations(spark, sf_dir):
+    return _dq.duplicate_combinations(lakehouse(spark, sf_dir).raw(), [
+        "Year of event", "Event name", "Athlete ID", "Athlete performance", "Athlete country"])
+
+
+@register("dedup_results")
+def q_dedup_results(spark, sf_dir):
+    return dedup_results(lakehouse(spark, sf_dir).table("silver_candidates"), _silver.DEDUP_COLUMNS)
+
+
+# ------------------------------------------------------------ aggregates, checks
+
+@register("value_counts")
+def q_value_counts(spark, sf_dir):
+    return sorted_by(_agg.value_counts(_raw(spark, sf_dir), "event_distance_length"),
+                     [("row_count", "desc"), "event_distance_length"])
+
+
+@register("count_by_unit")
+def q_count_by_unit(spark, sf_dir):
+    return _agg.value_counts(lakehouse(spark, sf_dir).silver(), "event_distance_unit")
+
+
+@register("count_by_type_pair")
+def q_count_by_type_pair(spark, sf_dir):
+    return _agg.value_counts(lakehouse(spark, sf_dir).silver(), "event_distance_type", "athlete_performance_type")
+
+
+@register("event_type_distribution")
+def q_event_type_distribution(spark, sf_dir):
+    lake = lakehouse(spark, sf_dir)
+    return _dq.event_type_distribution(lake.fact(), lake.table("dim_event"))
+
+
+@register("profile_distinct_counts")
+def q_profile_distinct_counts(spark, sf_dir):
+    return _agg.profile_distinct(lakehouse(spark, sf_dir).raw())
+
+
+@register("layer_row_counts")
+def q_layer_row_counts(spark, sf_dir):
+    lake = lakehouse(spark, sf_dir)
+    tables = {n: lake.table(n) for n in ("bronze_results", "bronze_country_codes", "silver_obt", "fact_results",
+                                         "dim_event", "dim_athlete", "dim_country", "dim_date")}
+    for name in ("vw_distance_km_results", "vw_distance_mi_results", "vw_time_hour_results",
+                 "vw_global_leaderboard", "vw_seasonal_race_trends", "vw_runner_demographics",
+                 "vw_country_seasonal_trends"):
+        tables[name] = REGISTRY[name](spark, sf_dir)
+    return _dq.layer_row_counts(tables)
+
+
+@register("distinct_values")
+def q_distinct_values(spark, sf_dir):
+    return _agg.distinct_values(_raw(spark, sf_dir), ["athlete_gender"])
+
+
+@register("distinct_key_counts")
+def q_distinct_key_counts(spark, sf_dir):
+    s = lakehouse(spark, sf_dir).silver()
+    return s.agg(F.count(F.lit(1)).alias("row_count"),
+                 F.count_distinct("result_id").alias("distinct_result_ids"),
+                 F.count_distinct("event_id").alias("distinct_event_ids"),
+                 F.count_distinct("athlete_id").alias("distinct_athletes"))
+
+
+@register("dq_speed_stats")
+def q_dq_speed_stats(spark, sf_dir):
+    return _dq.speed_stats(lakehouse(spark, sf_dir).silver())
+
+
+@register("dq_age_range")
+def q_dq_age_range(spark, sf_dir):
+    return _dq.age_range(lakehouse(spark, sf_dir).silver())
+
+
+@register("dq_missing_country")
+def q_dq_missing_country(spark, sf_dir):
+    return _dq.missing_country(lakehouse(spark, sf_dir).silver())
+
+
+@register("dq_unit_mismatch")
+def q_dq_unit_mismatch(spark, sf_dir):
+    return _dq.unit_mismatch_count(lakehouse(spark, sf_dir).silver())
+
+
+@register("null_counts")
+def q_null_counts(spark, sf_dir):
+    """NULLs of every raw column plus the 1193 birth-year typo, one pass."""
+    r = _raw(spark, sf_dir)
+    return r.agg(*[F.count_if(F.col(c).isNull()).alias(f"{c}_null_count") for c in r.columns],
+                 F.count_if(F.col("athlete_year_of_birth") == _ath.BIRTH_YEAR_SENTINEL)
+                 .alias("invalid_1193_birth_year_count"))
+
+
+@register("lookup_null_counts")
+def q_lookup_null_counts(spark, sf_dir):
+    raw_lookup = lakehouse(spark, sf_dir).lookup()
+    cleaned = raw_lookup.select(
+        _ath.normalize_code("athlete_country_code").alias("athlete_country_code"),
+        _ath.normalize_code("country_code_iso3").alias("country_code_iso3"),
+        F.trim("country_name").alias("country_name"))
+    return _agg.null_counts(cleaned, cleaned.columns)
+
+
+@register("dq_null_key_audit")
+def q_dq_null_key_audit(spark, sf_dir):
+    return _dq.null_key_audit(lakehouse(spark, sf_dir).silver())
+
+
+@register("dq_dim_uniqueness")
+def q_dq_dim_uniqueness(spark, sf_dir):
+    lake = lakehouse(spark, sf_dir)
+    return _dq.dim_uniqueness({
+        "dim_event": (lake.table("dim_event"), "event_id"),
+        "dim_athlete": (lake.table("dim_athlete"), "athlete_id"),
+        "dim_country": (lake.table("dim_country"), "country_code_iso3"),
+        "dim_date": (lake.table("dim_date"), "date_id"),
+        "fact_results": (lake.fact(), "result_id"),
+    })
+
+
+@register("duplicate_keys")
+def q_duplicate_keys(spark, sf_dir):
+    from racelake.operators.joins import duplicate_key_values
+    return duplicate_key_values(lakehouse(spark, sf_dir).table("silver_candidates"), "result_id")
+
+
+@register("duplicate_country_codes")
+def q_duplicate_country_codes(spark, sf_dir):
+    from racelake.operators.joins import duplicate_key_values
+    lk = lakehouse(spark, sf_dir).lookup().select(_ath.normalize_code("athlete_country_code").alias(
+        "athlete_country_code"))
+    return duplicate_key_values(lk, "athlete_country_code").withColumnRenamed("duplicate_count", "row_count")
+
+
+@register("repeat_athletes")
+def q_repeat_athletes(spark, sf_dir):
+    from racelake.operators.joins import duplicate_key_values
+    return sorted_by(duplicate_key_values(lakehouse(spark, sf_dir).silver(), "athlete_id")
+                     .withColumnRenamed("duplicate_count", "result_count"),
+                     [("result_count", "desc"), "athlete_id"])
+
+
+@register("numeric_summary")
+def q_numeric_summary(spark, sf_dir):
+    return _agg.numeric_summary(_raw(spark, sf_dir),
+                                ["year_of_event", "event_number_of_finishers", "athlete_year_of_birth"])
+
+
+@register("null_percentages")
+def q_null_percentages(spark, sf_dir):
+    r = _raw(spark, sf_dir)
+    return _agg.null_percentages(r, r.columns)
+
+
+@register("rejection_counts")
+def q_rejection_counts(spark, sf_dir):
+    lake = lakehouse(spark, sf_dir)
+    return _silver.rejection_counts(lake.raw(), lake.lookup())
+
+
+@register("parse_failure_counts")
+def q_parse_failure_counts(spark, sf_dir):
+    return _dq.parse_failure_counts(_derived(spark, sf_dir))
+
+
+# ------------------------------------------------------------ sort / top-k
+
+@register("leaderboard_sorted")
+def q_leaderboard_sorted(spark, sf_dir):
+    return sorted_by(vw_global_leaderboard(spark, sf_dir), [("race_result_records", "desc"), "country_code"])
+
+
+@register("seasonal_sorted")
+def q_seasonal_sorted(spark, sf_dir):
+    lake = lakehouse(spark, sf_dir)
+    trends = views.seasonal_race_trends(lake.fact(), lake.dims()["date"])
+    return sorted_by(trends, ["race_year", "race_month"])
+
+
+@register("top_speeds")
+def q_top_speeds(spark, sf_dir):
+    s = lakehouse(spark, sf_dir).silver().select(
+        "result_id", "year_of_event", "event_name", "event_distance_length", "athlete_performance",
+        "athlete_average_speed", "athlete_average_speed_kmh", "athlete_country", "country_name", "athlete_id")
+    return top_k(s, [("athlete_average_speed_kmh", "desc"), "result_id"], 100)
+
+
+@register("dim_preview")
+def q_dim_preview(spark, sf_dir):
+    return top_k(lakehouse(spark, sf_dir).table("dim_date"), ["event_start_date"], 100)
