@@ -643,3 +643,122 @@ def q_top_speeds(spark, sf_dir):
 @register("dim_preview")
 def q_dim_preview(spark, sf_dir):
     return top_k(lakehouse(spark, sf_dir).table("dim_date"), ["event_start_date"], 100)
+
+
+# ------------------------------------------------------------ sources, sinks, streams
+
+import uuid  # noqa: E402
+
+from racelake.sources import files as _files  # noqa: E402
+from racelake.streaming import ingest as _stream  # noqa: E402
+
+# Exact timestamps through CSV text (the default keeps milliseconds only).
+_TS_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+               "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
+def _scratch(spark, sf_dir, name: str) -> str:
+    """A fresh folder under the lake root (shared storage), one per call."""
+    return f"{lakehouse(spark, sf_dir).root}/io/{name}-{uuid.uuid4().hex[:8]}"
+
+
+def _land_csv(df, path: str) -> None:
+    df.write.mode("overwrite").options(**_files.CSV_OPTIONS).options(**_TS_OPTIONS).csv(path)
+
+
+def _csv_stream(spark, path, schema):
+    return (spark.readStream.format("csv").options(**_files.CSV_OPTIONS).options(**_TS_OPTIONS)
+            .option("recursiveFileLookup", "true").schema(schema).load(path))
+
+
+def _nation_csv(spark, sf_dir) -> str:
+    path = _scratch(spark, sf_dir, "nation_csv")
+    _files.write_csv(_tpch(spark, sf_dir, "nation"), path)
+    return path
+
+
+@register("csv_batch_scan")
+def q_csv_batch_scan(spark, sf_dir):
+    return _files.read_csv(spark, _nation_csv(spark, sf_dir), infer=True)
+
+
+@register("csv_infer_schema")
+def q_csv_infer_schema(spark, sf_dir):
+    return _files.schema_rows(spark, _files.infer_csv_schema(spark, _nation_csv(spark, sf_dir)))
+
+
+@register("table_full_refresh")
+def q_table_full_refresh(spark, sf_dir):
+    lake = lakehouse(spark, sf_dir)
+    path = _scratch(spark, sf_dir, "dim_country_refresh")
+    _files.write_table(lake.table("dim_country"), path)       # first build
+    return _files.write_table(lake.table("dim_country"), path)  # full refresh replaces it
+
+
+def _two_drops(df):
+    """Split a table into two deliveries that together hold every row once."""
+    return df.randomSplit([0.5, 0.5], seed=42)
+
+
+@register("stream_csv_ingest")
+def q_stream_csv_ingest(spark, sf_dir):
+    events = _tpch(spark, sf_dir, "events")
+    root = _scratch(spark, sf_dir, "events_stream")
+    _land_csv(events, f"{root}/landing/drop1")
+    _stream.write_append(_csv_stream(spark, f"{root}/landing", events.schema), f"{root}/bronze", f"{root}/_ckpt")
+    return spark.read.parquet(f"{root}/bronze")
+
+
+@register("stream_incremental_append")
+def q_stream_incremental_append(spark, sf_dir):
+    """Two runs over a landing folder; the second run appends only the new drop."""
+    events = _tpch(spark, sf_dir, "events")
+    root = _scratch(spark, sf_dir, "events_incremental")
+    for i, drop in enumerate(_two_drops(events), start=1):
+        _land_csv(drop, f"{root}/landing/drop{i}")
+        _stream.write_append(_csv_stream(spark, f"{root}/landing", events.schema),
+                             f"{root}/bronze", f"{root}/_ckpt")
+    return spark.read.parquet(f"{root}/bronze")
+
+
+def _raw_landing(spark, sf_dir, name, drops):
+    lake = lakehouse(spark, sf_dir)
+    raw = lake.raw()
+    root = _scratch(spark, sf_dir, name)
+    return raw.schema, root, [(lambda d=d, i=i: _land_csv(d, f"{root}/landing/drop{i}"))
+                              for i, d in enumerate(drops(raw), start=1)]
+
+
+@register("stream_silver_obt")
+def q_stream_silver_obt(spark, sf_dir):
+    """Raw CSV in two drops -> streaming silver (stateful dedup across runs)."""
+    schema, root, landings = _raw_landing(spark, sf_dir, "silver_stream", _two_drops)
+    lookup = lakehouse(spark, sf_dir).lookup()
+    for land in landings:
+        land()
+        stream = _stream.silver_stream(_csv_stream(spark, f"{root}/landing", schema), lookup)
+        _stream.write_append(stream, f"{root}/silver", f"{root}/_ckpt")
+    return spark.read.parquet(f"{root}/silver")
+
+
+@register("stream_static_enrich")
+def q_stream_static_enrich(spark, sf_dir):
+    schema, root, landings = _raw_landing(spark, sf_dir, "enrich_stream", lambda raw: [raw])
+    lookup = lakehouse(spark, sf_dir).lookup()
+    for land in landings:
+        land()
+    stream = _silver.enrich_country(_silver.valid_rows(_csv_stream(spark, f"{root}/landing", schema)), lookup)
+    _stream.write_append(stream.select("athlete_id", "athlete_country", "country_code_iso3", "country_name"),
+                         f"{root}/out", f"{root}/_ckpt")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    """The whole raw table delivered twice; state drops the re-delivered rows."""
+    schema, root, landings = _raw_landing(spark, sf_dir, "dedup_stream", lambda raw: [raw, raw])
+    for land in landings:
+        land()
+        stream = snake_case_columns(_csv_stream(spark, f"{root}/landing", schema))
+        _stream.write_append(_stream.dedup_stream(stream, stream.columns), f"{root}/out", f"{root}/_ckpt")
+    return spark.read.parquet(f"{root}/out")
