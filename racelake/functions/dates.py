@@ -44,43 +44,44 @@ def _parse(text: Column) -> Column:
     return F.try_to_date(text, DATE_TEXT_FORMAT)
 
 
-def _groups(c: Column, layout: str, *groups: int) -> Column:
-    """``dd.MM.yyyy`` text rebuilt from the layout's groups."""
-    pattern = DATE_LAYOUTS[layout]
-    return F.concat_ws(".", *[F.regexp_extract(c, pattern, g) for g in groups])
+def _cut(c: Column, pos: int, length: int) -> Column:
+    return F.substring(c, pos, length)
 
 
 def event_date_bounds(c: Column | str) -> tuple[Column, Column]:
     """(start, end) dates of an event-date text.
 
-    Each bound is one ``CASE`` over the layout patterns: a text is parsed only
-    under the layout it matches (a failed ``try_to_date`` costs a caught
-    exception inside the JVM, several times a successful parse).  The layout
-    column itself is not referenced, which keeps the expression small once
-    Catalyst inlines it into the pushed-down rule filter.
+    Every layout has fixed width, so once ``rlike`` has validated the layout
+    the day/month/year pieces are plain substrings (no capture-group regex);
+    each text is parsed only under the layout it matches, because a failed
+    ``try_to_date`` costs a caught exception inside the JVM.  The layout column
+    is not referenced, keeping the expression small once Catalyst inlines it
+    into the pushed-down rule filter.
+
+    Offsets (1-based): ``DD.-DD.MM.YYYY``: days 1 and 5, month-year 8..14;
+    ``DD.MM.-DD.MM.YYYY``: start 1..6, end 8..17, start month 4, end month 11,
+    year 14; ``DD.MM.YYYY-DD.MM.YYYY``: start 1..10, end 12..21.
     """
     c = as_col(c)
-    diff_month = DATE_LAYOUTS["date_range_different_month"]
-    start_month = F.regexp_extract(c, diff_month, 2).try_cast("int")
-    end_month = F.regexp_extract(c, diff_month, 4).try_cast("int")
-    end_year = F.regexp_extract(c, diff_month, 5).try_cast("int")
+    single = _parse(c)
+    same_start = _parse(F.concat(_cut(c, 1, 3), _cut(c, 8, 7)))
+    same_end = _parse(_cut(c, 5, 10))
     # Start year rolls back one year when the start month is later (Dec -> Jan).
-    start_year = end_year - F.when(start_month > end_month, 1).otherwise(0)
-    month_start = F.concat_ws(".", F.regexp_extract(c, diff_month, 1), F.regexp_extract(c, diff_month, 2),
-                              start_year.cast("string"))
-
-    def by_layout(single, same, month, year):
-        return (F.when(c.rlike(DATE_LAYOUTS["single_date"]), _parse(single))
-                .when(c.rlike(DATE_LAYOUTS["date_range_same_month"]), _parse(same))
-                .when(c.rlike(diff_month), _parse(month))
-                .when(c.rlike(DATE_LAYOUTS["date_range_different_year"]), _parse(year)))
-
-    start = by_layout(c, _groups(c, "date_range_same_month", 1, 3, 4), month_start,
-                      _groups(c, "date_range_different_year", 1, 2, 3))
-    end = by_layout(c, _groups(c, "date_range_same_month", 2, 3, 4),
-                    _groups(c, "date_range_different_month", 3, 4, 5),
-                    _groups(c, "date_range_different_year", 4, 5, 6))
-    return start, end
+    end_year = _cut(c, 14, 4).try_cast("int")
+    start_year = end_year - F.when(_cut(c, 4, 2).try_cast("int") > _cut(c, 11, 2).try_cast("int"), 1).otherwise(0)
+    month_start = _parse(F.concat(_cut(c, 1, 6), start_year.cast("string")))
+    month_end = _parse(_cut(c, 8, 10))
+    year_start = _parse(_cut(c, 1, 10))
+    year_end = _parse(_cut(c, 12, 10))
+
+    def by_layout(a, b, d, e):
+        return (F.when(c.rlike(DATE_LAYOUTS["single_date"]), a)
+                .when(c.rlike(DATE_LAYOUTS["date_range_same_month"]), b)
+                .when(c.rlike(DATE_LAYOUTS["date_range_different_month"]), d)
+                .when(c.rlike(DATE_LAYOUTS["date_range_different_year"]), e))
+
+    return (by_layout(single, same_start, month_start, year_start),
+            by_layout(single, same_end, month_end, year_end))
 
 
 def event_duration_days(start: Column | str, end: Column | str) -> Column:

@@ -43,14 +43,20 @@ def _part(text: Column, pattern: str, group: int) -> Column:
 def duration_seconds(c: Column | str) -> Column:
     """``H+:MM:SS h`` and ``Dd HH:MM:SS h`` -> whole seconds (else NULL).
 
-    Each layout is tested on the text itself (no reference to the type column),
-    and parts are extracted only under the matching layout.
+    The layout is validated with ``rlike`` on the text itself (no reference to
+    the type column); the minute and second fields then sit at fixed offsets
+    from the end, so they are substrings, and the leading hours / days field is
+    the text before the first ``:`` / ``d``.
     """
     text = F.trim(as_col(c))
-    hms = (_part(text, TIME_HOURS, 1) * 3600 + _part(text, TIME_HOURS, 2) * 60
-           + _part(text, TIME_HOURS, 3))
-    dhms = (_part(text, TIME_DAYS_HOURS, 1) * 86400 + _part(text, TIME_DAYS_HOURS, 2) * 3600
-            + _part(text, TIME_DAYS_HOURS, 3) * 60 + _part(text, TIME_DAYS_HOURS, 4))
+    n = F.length(text)
+
+    def field(offset_from_end: int) -> Column:  # two digits ending offset_from_end chars before the end
+        return F.substring(text, n - offset_from_end, 2).try_cast("int")
+
+    minutes_seconds = field(6) * 60 + field(3)
+    hms = F.substring_index(text, ":", 1).try_cast("int") * 3600 + minutes_seconds
+    dhms = (F.substring_index(text, "d", 1).try_cast("int") * 86400 + field(9) * 3600 + minutes_seconds)
     return F.when(text.rlike(TIME_HOURS), hms).when(text.rlike(TIME_DAYS_HOURS), dhms)
 
 

@@ -21,6 +21,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Post-shuffle stages here are CPU-bound (text parsing) on little shuffle
+    # data; a smaller floor keeps small local runs parallel.  At scale the
+    # partitions are far above this floor and it has no effect.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     # The silver rule filter inlines every parser once Catalyst pushes it below
     # the projections; a generated method that large is never JIT-compiled by
     # HotSpot (limit 8000 bytes of bytecode).  Spark then compiles such stages
