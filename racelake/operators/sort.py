@@ -28,12 +28,13 @@ def top_k(df: DataFrame, specs, k: int) -> DataFrame:
 
 
 def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin a DataFrame over the cluster's cores when it arrives in fewer
-    partitions than cores (a small input held in one or two unsplittable
-    files) and the next stage is CPU-bound.  On large inputs the scan already
-    has far more splits than cores and this is a no-op, so no shuffle is added
-    at scale."""
+    """Round-robin a DataFrame over the cluster's cores when it is read from
+    fewer files than there are cores and the next stage is CPU-bound (a small
+    input in one or two unsplittable files would otherwise run in one or two
+    tasks).  The check uses the scan's file list only - no job runs.  A large
+    input has far more files than cores and is returned unchanged, so no
+    shuffle is added at scale."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    if len(df.inputFiles()) < cores:
         return df.repartition(cores)
     return df

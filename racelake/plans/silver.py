@@ -198,7 +198,7 @@ def rejection_counts(raw: DataFrame, lookup: DataFrame) -> DataFrame:
     rows without a lookup match, ``duplicate`` for repeated rows, and ``kept``.
     One scan, one left join to the (broadcast) lookup, two aggregates.
     """
-    derived = silver_columns(raw)
+    derived = silver_columns(spread_small_input(raw))
     reason = None
     for name, rule in _rules():
         broken = ~F.coalesce(rule, F.lit(False))
