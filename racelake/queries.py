@@ -731,13 +731,16 @@ def _raw_landing(spark, sf_dir, name, drops):
 
 @register("stream_silver_obt")
 def q_stream_silver_obt(spark, sf_dir):
-    """Raw CSV in two drops -> streaming silver (stateful dedup across runs)."""
+    """Medallion streams, run twice as two CSV drops land: landing CSV -> bronze
+    parquet (file source), bronze parquet read as a stream -> silver (stateful
+    dedup across runs, stream-static country join)."""
     schema, root, landings = _raw_landing(spark, sf_dir, "silver_stream", _two_drops)
     lookup = lakehouse(spark, sf_dir).lookup()
     for land in landings:
         land()
-        stream = _stream.silver_stream(_csv_stream(spark, f"{root}/landing", schema), lookup)
-        _stream.write_append(stream, f"{root}/silver", f"{root}/_ckpt")
+        _stream.write_append(_csv_stream(spark, f"{root}/landing", schema), f"{root}/bronze", f"{root}/_ckpt_bronze")
+        bronze = _stream.read_table_stream(spark, f"{root}/bronze", schema)
+        _stream.write_append(_stream.silver_stream(bronze, lookup), f"{root}/silver", f"{root}/_ckpt_silver")
     return spark.read.parquet(f"{root}/silver")
 
 

@@ -42,6 +42,11 @@ def ingest_stream(spark: SparkSession, landing: str, schema: StructType, sink: s
     return spark.read.parquet(sink)
 
 
+def read_table_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Stream read of a parquet table written by another stream (``FROM STREAM t``)."""
+    return spark.readStream.schema(schema).parquet(path)
+
+
 def dedup_stream(stream: DataFrame, cols, watermark: tuple[str, str] | None = None) -> DataFrame:
     """Stateful dedup across micro-batches and runs.
 
