@@ -17,8 +17,24 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+_PROBES: dict[tuple, bool] = {}
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    The answer is remembered per (canonical plan, exact input file list): the
+    same plan over the same files has the same rows, and a rewritten table gets
+    new file names, so a changed input is probed again.
+    """
+    try:
+        files = tuple(sorted(df.inputFiles()))
+    except Exception:  # noqa: BLE001 - sources without a file list are always probed
+        return df.limit(max_rows + 1).count() <= max_rows
+    key = (df.semanticHash(), files, max_rows)
+    if key not in _PROBES:
+        _PROBES[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _PROBES[key]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -17,6 +17,9 @@ def _sort_col(spec) -> Column:
 
 
 def sorted_by(df: DataFrame, specs) -> DataFrame:
+    """Global sort (range partitioning on a sample of the keys).  List enough
+    columns to break ties: rows sharing the whole sort key cannot be split
+    across range partitions, so a hot key would otherwise sort in one task."""
     return df.orderBy(*[_sort_col(s) for s in specs])
 
 

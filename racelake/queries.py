@@ -374,7 +374,11 @@ def q_substring_predicates(spark, sf_dir):
 def q_missing_or_sentinel(spark, sf_dir):
     r = _raw(spark, sf_dir)
     found = r.filter(F.col("athlete_year_of_birth").isNull() | (F.col("athlete_year_of_birth") == 1193))
-    return sorted_by(found.drop("event_number_of_finishers"), [("athlete_year_of_birth", "asc_nulls_first")])
+    # Tie-breakers after the sort key let the range partitioner split a large
+    # tie group (all NULL birth years) across tasks.
+    return sorted_by(found.drop("event_number_of_finishers"),
+                     [("athlete_year_of_birth", "asc_nulls_first"), "athlete_id", "year_of_event",
+                      "event_dates", "event_name"])
 
 
 @register("dq_unit_mismatch_rows")
