@@ -193,30 +193,36 @@ def build_silver(raw: DataFrame, lookup: DataFrame) -> DataFrame:
     return dedup_candidates(build_candidates(raw, lookup))
 
 
-def rejection_counts(raw: DataFrame, lookup: DataFrame) -> DataFrame:
+def rejection_counts(raw: DataFrame, lookup: DataFrame, candidates: DataFrame | None = None,
+                     silver: DataFrame | None = None) -> DataFrame:
     """(stage, row_count): every raw row lands in exactly one bucket.
 
-    Buckets: the first silver rule a row breaks, ``no_country_match`` for valid
-    rows without a lookup match, ``duplicate`` for repeated rows, and ``kept``.
-    One scan, one left join to the (broadcast) lookup, two aggregates.
+    Buckets: the first silver rule a row breaks (reference order), then
+    ``no_country_match`` for valid rows without a lookup match, ``duplicate``
+    for repeated rows, and ``kept``.  Rejections come from one scan and one
+    left join to the (broadcast) lookup; kept and duplicate rows are the row
+    counts of the materialised candidates and silver tables when given
+    (otherwise they are derived here).
     """
     derived = silver_columns(spread_small_input(raw))
     reason = None
     for name, rule in _rules():
         broken = ~F.coalesce(rule, F.lit(False))
         reason = F.when(broken, name) if reason is None else reason.when(broken, name)
-    tagged = (enrich(derived.withColumn("_reason", reason.otherwise(F.lit(None))),
-                     clean_country_lookup(lookup), "athlete_country", "athlete_country_code", how="left")
-              .withColumn("_reason", F.coalesce(
-                  F.col("_reason"),
-                  F.when(F.col("country_code_iso3").isNull(), F.lit("no_country_match")))))
-    rejected = tagged.filter(F.col("_reason").isNotNull()).groupBy(F.col("_reason").alias("stage")) \
-        .agg(F.count(F.lit(1)).alias("row_count"))
-    valid = tagged.filter(F.col("_reason").isNull())
-    # Kept rows = distinct valid rows on the dedup columns; the rest are duplicates.
-    per_key = valid.groupBy(*DEDUP_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
-    dup_stats = per_key.agg(F.count(F.lit(1)).alias("kept"), F.sum("n").alias("total"))
-    dups = dup_stats.selectExpr(
-        "stack(2, 'kept', kept, 'duplicate', total - kept) as (stage, row_count)")
-    return rejected.unionByName(dups).filter(F.col("row_count") > 0) \
-        .withColumn("row_count", F.col("row_count").cast("long"))
+    keys = clean_country_lookup(lookup).select("athlete_country_code", "country_code_iso3")
+    tagged = (enrich(derived.select("athlete_country", reason.alias("_reason")), keys,
+                     "athlete_country", "athlete_country_code", how="left")
+              .select(F.coalesce(F.col("_reason"), F.when(F.col("country_code_iso3").isNull(),
+                                                          F.lit("no_country_match"))).alias("stage")))
+    rejected = (tagged.filter(F.col("stage").isNotNull()).groupBy("stage")
+                .agg(F.count(F.lit(1)).alias("row_count")))
+    if candidates is None:
+        candidates = build_candidates(raw, lookup)
+    if silver is None:
+        silver = dedup_candidates(candidates)
+    totals = (candidates.agg(F.count(F.lit(1)).alias("valid"), F.lit(0).cast("long").alias("kept"))
+              .unionByName(silver.agg(F.lit(0).cast("long").alias("valid"), F.count(F.lit(1)).alias("kept")))
+              .agg(F.sum("valid").alias("valid"), F.sum("kept").alias("kept")))
+    outcome = totals.selectExpr("stack(2, 'kept', kept, 'duplicate', valid - kept) as (stage, row_count)")
+    return (rejected.unionByName(outcome).filter(F.col("row_count") > 0)
+            .withColumn("row_count", F.col("row_count").cast("long")))

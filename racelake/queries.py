@@ -614,7 +614,7 @@ def q_null_percentages(spark, sf_dir):
 @register("rejection_counts")
 def q_rejection_counts(spark, sf_dir):
     lake = lakehouse(spark, sf_dir)
-    return _silver.rejection_counts(lake.raw(), lake.lookup())
+    return _silver.rejection_counts(lake.raw(), lake.lookup(), lake.table("silver_candidates"), lake.silver())
 
 
 @register("parse_failure_counts")
