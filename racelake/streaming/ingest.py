@@ -11,6 +11,7 @@ from the last committed batch.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from racelake.plans import silver as silver_plan
@@ -58,6 +59,11 @@ def dedup_stream(stream: DataFrame, cols, watermark: tuple[str, str] | None = No
     if watermark is None:
         return stream.dropDuplicates(list(cols))
     column, delay = watermark
+    # Watermarks need TIMESTAMP; a TIMESTAMP_NTZ event time gets a session-zone copy.
+    if dict(stream.dtypes)[column] == "timestamp_ntz":
+        return (stream.withColumn("_event_time", F.col(column).cast("timestamp"))
+                .withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(list(cols))
+                .drop("_event_time"))
     return stream.withWatermark(column, delay).dropDuplicatesWithinWatermark(list(cols))
 
 
