@@ -27,15 +27,17 @@ def normalize_code(c: Column | str) -> Column:
 
 
 def clean_birth_year(c: Column | str) -> Column:
-    """Known typo year 1193 -> NULL, otherwise the integer year."""
+    """Known typo year 1193 -> NULL, otherwise the integer year (NULL when the
+    value cannot be an int, instead of an ANSI cast error)."""
     c = as_col(c)
-    return F.when(c == BIRTH_YEAR_SENTINEL, F.lit(None).cast("int")).otherwise(c.cast("int"))
+    return F.when(c == BIRTH_YEAR_SENTINEL, F.lit(None).cast("int")).otherwise(c.try_cast("int"))
 
 
 def age_at_event(event_year: Column | str, birth_year: Column | str,
                  lo: int = AGE_MIN, hi: int = AGE_MAX) -> Column:
-    """Event year minus birth year; ages outside [lo, hi] become NULL."""
-    age = as_col(event_year) - as_col(birth_year)
+    """Event year minus birth year; ages outside [lo, hi] become NULL
+    (``try_subtract``: absurd inputs give NULL, not an ANSI overflow)."""
+    age = F.try_subtract(as_col(event_year), as_col(birth_year))
     return F.when((age < lo) | (age > hi), F.lit(None).cast("int")).otherwise(age)
 
 

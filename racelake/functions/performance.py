@@ -46,18 +46,20 @@ def duration_seconds(c: Column | str) -> Column:
     The layout is validated with ``rlike`` on the text itself (no reference to
     the type column); the minute and second fields then sit at fixed offsets
     from the end, so they are substrings, and the leading hours / days field is
-    the text before the first ``:`` / ``d``.
+    the text before the first ``:`` / ``d``.  Arithmetic runs in ``long`` and
+    ends in ``try_cast``: an absurd value (``999999:00:00 h``) becomes NULL
+    instead of an ANSI overflow error.
     """
     text = F.trim(as_col(c))
     n = F.length(text)
 
     def field(offset_from_end: int) -> Column:  # two digits ending offset_from_end chars before the end
-        return F.substring(text, n - offset_from_end, 2).try_cast("int")
+        return F.substring(text, n - offset_from_end, 2).try_cast("long")
 
     minutes_seconds = field(6) * 60 + field(3)
-    hms = F.substring_index(text, ":", 1).try_cast("int") * 3600 + minutes_seconds
-    dhms = (F.substring_index(text, "d", 1).try_cast("int") * 86400 + field(9) * 3600 + minutes_seconds)
-    return F.when(text.rlike(TIME_HOURS), hms).when(text.rlike(TIME_DAYS_HOURS), dhms)
+    hms = F.substring_index(text, ":", 1).try_cast("long") * 3600 + minutes_seconds
+    dhms = (F.substring_index(text, "d", 1).try_cast("long") * 86400 + field(9) * 3600 + minutes_seconds)
+    return (F.when(text.rlike(TIME_HOURS), hms).when(text.rlike(TIME_DAYS_HOURS), dhms)).try_cast("int")
 
 
 def performance_distance(c: Column | str) -> Column:

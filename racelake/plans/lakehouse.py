@@ -32,7 +32,7 @@ class Lakehouse:
         self.sf_dir = os.path.abspath(sf_dir)
         digest = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:12]
         self.root = root or f"{lake_root(spark)}/{digest}"
-        self._built: set[str] = set()
+        self._built: dict[str, DataFrame] = {}
         self._builders = {
             "bronze_results": lambda: race_results_raw(spark, self.sf_dir),
             "bronze_country_codes": lambda: country_lookup_raw(spark, self.sf_dir),
@@ -50,12 +50,14 @@ class Lakehouse:
         return f"{self.root}/{name}"
 
     def table(self, name: str) -> DataFrame:
+        """The materialised table (built on first use, then read back once;
+        later calls reuse the same DataFrame and its file listing)."""
         if name not in self._built:
             with _LOCK:
                 if name not in self._built:
                     self._builders[name]().write.mode("overwrite").parquet(self.path(name))
-                    self._built.add(name)
-        return self.spark.read.parquet(self.path(name))
+                    self._built[name] = self.spark.read.parquet(self.path(name))
+        return self._built[name]
 
     # Convenience accessors.
     def raw(self) -> DataFrame:

@@ -67,7 +67,7 @@ def silver_columns(raw: DataFrame) -> DataFrame:
     df = snake_case_columns(raw)
     c = F.col
     df = df.withColumns({
-        "year_of_event": c("year_of_event").cast("int"),
+        "year_of_event": c("year_of_event").try_cast("int"),
         "event_name": F.trim(c("event_name")),
         "event_date_raw": c("event_dates"),
         "event_date_format_type": dates.classify_date_format("event_dates"),
@@ -78,7 +78,7 @@ def silver_columns(raw: DataFrame) -> DataFrame:
         "athlete_year_of_birth": athlete.clean_birth_year("athlete_year_of_birth"),
         "athlete_age_category": athlete.clean_category("athlete_age_category"),
         "athlete_gender": athlete.normalize_code("athlete_gender"),
-        "athlete_id": c("athlete_id").cast("int"),
+        "athlete_id": c("athlete_id").try_cast("int"),
     })
     start, end = dates.event_date_bounds("event_dates")
     df = df.withColumns({

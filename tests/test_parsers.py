@@ -64,6 +64,7 @@ def test_distance(spark, text, kind, std):
     ("160.944 km", "distance_km", None, 160.944),
     ("93.2 mi", "distance_mi", None, 93.2),
     ("4:5 h", "unknown", None, None),
+    ("999999999:00:00 h", "time_hours", None, None),     # overflow: NULL, not an error
     (None, "null", None, None),
 ])
 def test_performance(spark, text, kind, seconds, covered):
