@@ -146,7 +146,7 @@ def q_snake_case_columns(spark, sf_dir):
 
 @register("rename_column")
 def q_rename_column(spark, sf_dir):
-    return rename_column(_tpch(spark, sf_dir, "nation"), "n_name", "nation_name")
+    return rename_column(lakehouse(spark, sf_dir).raw(), "Athlete country", "athlete_country_code")
 
 
 @register("try_cast_speed")
@@ -675,20 +675,25 @@ def _csv_stream(spark, path, schema):
             .option("recursiveFileLookup", "true").schema(schema).load(path))
 
 
-def _nation_csv(spark, sf_dir) -> str:
-    path = _scratch(spark, sf_dir, "nation_csv")
-    _files.write_csv(_tpch(spark, sf_dir, "nation"), path)
+def _raw_csv(spark, sf_dir) -> str:
+    """The bronze race results landed as CSV files (header = raw column names)."""
+    path = _scratch(spark, sf_dir, "raw_csv")
+    _files.write_csv(lakehouse(spark, sf_dir).raw(), path)
     return path
 
 
 @register("csv_batch_scan")
 def q_csv_batch_scan(spark, sf_dir):
-    return _files.read_csv(spark, _nation_csv(spark, sf_dir), infer=True)
+    """Header + type inference over every landed file."""
+    return _files.read_csv(spark, _raw_csv(spark, sf_dir), infer=True)
 
 
 @register("csv_infer_schema")
 def q_csv_infer_schema(spark, sf_dir):
-    return _files.schema_rows(spark, _files.infer_csv_schema(spark, _nation_csv(spark, sf_dir)))
+    """Schema inferred from one sample file of the landing folder."""
+    folder = _raw_csv(spark, sf_dir)
+    sample = sorted(f for f in spark.read.text(folder).inputFiles() if f.endswith(".csv"))[0]
+    return _files.schema_rows(spark, _files.infer_csv_schema(spark, sample))
 
 
 @register("table_full_refresh")
