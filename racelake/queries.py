@@ -6,13 +6,31 @@ Every query reads the supplied tables (through the materialised layers of
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from racelake.functions import athlete as _ath
+from racelake.functions import dates as _dates
+from racelake.functions import distance as _dist
+from racelake.functions import keys as _keys
+from racelake.functions import performance as _perf
+from racelake.functions import speed as _speed
+from racelake.functions.columns import rename_column, safe_cast, snake_case_columns
+from racelake.operators import aggregates as _agg
+from racelake.operators import filters as _flt
+from racelake.operators.dedup import dedup_results
+from racelake.operators.joins import duplicate_key_values, rows_with_duplicate_keys
+from racelake.operators.sort import sorted_by, top_k
+from racelake.plans import profile as _prof
+from racelake.plans import quality as _dq
+from racelake.plans import silver as _silver
 from racelake.plans import views
 from racelake.plans.lakehouse import lakehouse
+from racelake.sources import files as _files
+from racelake.streaming import ingest as _stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -107,22 +125,6 @@ def star_left_preview(spark, sf_dir):
 
 # ------------------------------------------------------------ helpers
 
-from racelake.functions import athlete as _ath  # noqa: E402
-from racelake.functions import dates as _dates  # noqa: E402
-from racelake.functions import distance as _dist  # noqa: E402
-from racelake.functions import keys as _keys  # noqa: E402
-from racelake.functions import performance as _perf  # noqa: E402
-from racelake.functions import speed as _speed  # noqa: E402
-from racelake.functions.columns import rename_column, safe_cast, snake_case_columns  # noqa: E402
-from racelake.operators import aggregates as _agg  # noqa: E402
-from racelake.operators import filters as _flt  # noqa: E402
-from racelake.operators.dedup import dedup_results  # noqa: E402
-from racelake.operators.sort import sorted_by, top_k  # noqa: E402
-from racelake.plans import profile as _prof  # noqa: E402
-from racelake.plans import quality as _dq  # noqa: E402
-from racelake.plans import silver as _silver  # noqa: E402
-
-
 def _raw(spark, sf_dir):
     """Bronze race results, snake_case."""
     return snake_case_columns(lakehouse(spark, sf_dir).raw())
@@ -437,7 +439,6 @@ def q_dq_duplicate_totals(spark, sf_dir):
 
 @register("duplicate_rows_detail")
 def q_duplicate_rows_detail(spark, sf_dir):
-    from racelake.operators.joins import rows_with_duplicate_keys
     c = lakehouse(spark, sf_dir).table("silver_candidates")
     return sorted_by(rows_with_duplicate_keys(c, "result_id").select(
         "result_id", "event_id", "year_of_event", "event_name", "event_date_raw", "event_distance_length",
@@ -579,13 +580,11 @@ def q_dq_dim_uniqueness(spark, sf_dir):
 
 @register("duplicate_keys")
 def q_duplicate_keys(spark, sf_dir):
-    from racelake.operators.joins import duplicate_key_values
     return duplicate_key_values(lakehouse(spark, sf_dir).table("silver_candidates"), "result_id")
 
 
 @register("duplicate_country_codes")
 def q_duplicate_country_codes(spark, sf_dir):
-    from racelake.operators.joins import duplicate_key_values
     lk = lakehouse(spark, sf_dir).lookup().select(_ath.normalize_code("athlete_country_code").alias(
         "athlete_country_code"))
     return duplicate_key_values(lk, "athlete_country_code").withColumnRenamed("duplicate_count", "row_count")
@@ -593,7 +592,6 @@ def q_duplicate_country_codes(spark, sf_dir):
 
 @register("repeat_athletes")
 def q_repeat_athletes(spark, sf_dir):
-    from racelake.operators.joins import duplicate_key_values
     return sorted_by(duplicate_key_values(lakehouse(spark, sf_dir).silver(), "athlete_id")
                      .withColumnRenamed("duplicate_count", "result_count"),
                      [("result_count", "desc"), "athlete_id"])
@@ -651,10 +649,6 @@ def q_dim_preview(spark, sf_dir):
 
 # ------------------------------------------------------------ sources, sinks, streams
 
-import uuid  # noqa: E402
-
-from racelake.sources import files as _files  # noqa: E402
-from racelake.streaming import ingest as _stream  # noqa: E402
 
 # Exact timestamps through CSV text (the default keeps milliseconds only).
 _TS_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
