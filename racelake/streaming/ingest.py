@@ -59,18 +59,24 @@ def dedup_stream(stream: DataFrame, cols, watermark: tuple[str, str] | None = No
     if watermark is None:
         return stream.dropDuplicates(list(cols))
     column, delay = watermark
-    # Watermarks need TIMESTAMP; a TIMESTAMP_NTZ event time gets a session-zone copy.
-    if dict(stream.dtypes)[column] == "timestamp_ntz":
+    # Watermarks need TIMESTAMP; a TIMESTAMP_NTZ or DATE event time gets a session-zone copy.
+    if dict(stream.dtypes)[column] in ("timestamp_ntz", "date"):
         return (stream.withColumn("_event_time", F.col(column).cast("timestamp"))
                 .withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(list(cols))
                 .drop("_event_time"))
     return stream.withWatermark(column, delay).dropDuplicatesWithinWatermark(list(cols))
 
 
-def silver_stream(raw_stream: DataFrame, lookup: DataFrame) -> DataFrame:
+def silver_stream(raw_stream: DataFrame, lookup: DataFrame,
+                  watermark: tuple[str, str] | None = None) -> DataFrame:
     """The silver chain on a stream: the batch parsers and rules unchanged,
-    a stream-static join to the lookup, stateful dedup, then the keys."""
+    a stream-static join to the lookup, stateful dedup, then the keys.
+
+    ``watermark`` (e.g. ``("event_start_date", "400 days")``) bounds the dedup
+    state: a result re-delivered later than that after its event is no longer
+    recognised as a copy.  Without it the dedup is exact and the state grows.
+    """
     rows = silver_plan.enrich_country(silver_plan.valid_rows(raw_stream), lookup)
     base = [c for c in silver_plan.SILVER_COLUMNS if c not in ("event_id", "result_id")]
-    deduped = dedup_stream(rows.select(*base), silver_plan.DEDUP_COLUMNS)
+    deduped = dedup_stream(rows.select(*base), silver_plan.DEDUP_COLUMNS, watermark)
     return silver_plan.add_keys(deduped).select(*silver_plan.SILVER_COLUMNS)
