@@ -33,3 +33,15 @@ def test_dedup_within_watermark(spark, sf_dir):
     deduped = ingest.dedup_stream(stream, ["event_id"], watermark=("ts", "3650 days"))
     ingest.write_append(deduped, f"{root}/out", f"{root}/ckpt")
     assert spark.read.parquet(f"{root}/out").count() == events.select("event_id").distinct().count()
+
+
+def test_silver_stream_with_watermark_matches_batch(spark, sf_dir):
+    lake = lakehouse(spark, sf_dir)
+    raw = lake.raw()
+    root = _root(spark, sf_dir)
+    bronze = ingest.read_table_stream(spark, lake.path("bronze_results"), raw.schema)
+    silver = ingest.silver_stream(bronze, lake.lookup(), watermark=("event_start_date", "36500 days"))
+    ingest.write_append(silver, f"{root}/silver", f"{root}/ckpt")
+    got = spark.read.parquet(f"{root}/silver")
+    assert got.count() == lake.silver().count()
+    assert got.select("result_id").exceptAll(lake.silver().select("result_id")).count() == 0
