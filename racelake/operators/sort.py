@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from racelake.session import default_parallelism
+
 
 def _sort_col(spec) -> Column:
     """``"c"`` ascending, ``("c", "desc")``, ``("c", "asc_nulls_first")`` ..."""
@@ -37,7 +39,7 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     tasks).  The check uses the scan's file list only - no job runs.  A large
     input has far more files than cores and is returned unchanged, so no
     shuffle is added at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    cores = default_parallelism(df.sparkSession)
     if len(df.inputFiles()) < cores:
         return df.repartition(cores)
     return df

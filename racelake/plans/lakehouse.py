@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from racelake.plans import silver as silver_plan
 from racelake.plans import star
-from racelake.session import lake_root
+from racelake.session import app_id, lake_root
 from racelake.sources.fixture import country_lookup_raw, race_results_raw
 
 _LOCK = threading.RLock()
@@ -77,7 +77,7 @@ class Lakehouse:
 
 
 def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (app_id(spark), os.path.abspath(sf_dir))
     with _LOCK:
         lake = _LAKES.get(key)
         if lake is None:

@@ -60,7 +60,24 @@ def _conf(spark: SparkSession, key: str) -> str | None:
     value = spark.conf.get(key, None)
     if value:
         return value
-    return spark.sparkContext.getConf().get(key, None)
+    try:
+        return spark.sparkContext.getConf().get(key, None)
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return _conf(spark, "spark.app.id") or "app"
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return int(_conf(spark, "spark.default.parallelism") or os.cpu_count() or 8)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -72,16 +89,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = _conf(spark, "spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
-    existing = spark.sparkContext.getCheckpointDir()
+    try:
+        existing = spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - Spark Connect: no context to register with
+        existing = None
     if existing:
         # The context appends a random sub-folder; keep tables beside it.
         return os.path.dirname(existing.rstrip("/"))
     local = tempfile.mkdtemp(prefix="racelake-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    try:
+        spark.sparkContext.setCheckpointDir(local)
+    except Exception:  # noqa: BLE001 - Spark Connect
+        pass
     return local
 
 
 def lake_root(spark: SparkSession) -> str:
     """Folder for materialised layers of this application."""
-    app = spark.sparkContext.applicationId
-    return f"{checkpoint_dir(spark)}/racelake/{app}"
+    return f"{checkpoint_dir(spark)}/racelake/{app_id(spark)}"
