@@ -27,15 +27,21 @@ _LAKES: dict[tuple[str, str], "Lakehouse"] = {}
 class Lakehouse:
     """Lazily materialised tables of one input folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None,
+                 sources: dict | None = None):
+        """``sources`` maps ``bronze_results`` / ``bronze_country_codes`` to
+        DataFrame builders; by default both are derived from the supplied
+        tables in ``sf_dir`` (the fixture)."""
         self.spark = spark
         self.sf_dir = os.path.abspath(sf_dir)
         digest = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:12]
         self.root = root or f"{lake_root(spark)}/{digest}"
         self._built: dict[str, DataFrame] = {}
+        sources = sources or {}
         self._builders = {
-            "bronze_results": lambda: race_results_raw(spark, self.sf_dir),
-            "bronze_country_codes": lambda: country_lookup_raw(spark, self.sf_dir),
+            "bronze_results": sources.get("bronze_results", lambda: race_results_raw(spark, self.sf_dir)),
+            "bronze_country_codes": sources.get("bronze_country_codes",
+                                                lambda: country_lookup_raw(spark, self.sf_dir)),
             "silver_candidates": lambda: silver_plan.build_candidates(self.table("bronze_results"),
                                                                       self.table("bronze_country_codes")),
             "silver_obt": lambda: silver_plan.dedup_candidates(self.table("silver_candidates")),
@@ -76,6 +82,19 @@ class Lakehouse:
         return {n: self.table(f"dim_{n}") for n in ("event", "athlete", "country", "date")}
 
 
+def csv_lakehouse(spark: SparkSession, results_csv: str, countries_csv: str,
+                  root: str | None = None) -> Lakehouse:
+    """A lake over real input files: the race-results CSV folder and the country
+    lookup CSV folder (header row, types inferred, text kept byte for byte)."""
+    from racelake.sources.files import read_csv
+
+    key = os.path.abspath(results_csv) + "|" + os.path.abspath(countries_csv)
+    return Lakehouse(spark, key, root=root, sources={
+        "bronze_results": lambda: read_csv(spark, results_csv, infer=True),
+        "bronze_country_codes": lambda: read_csv(spark, countries_csv, infer=True),
+    })
+
+
 def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
     key = (app_id(spark), os.path.abspath(sf_dir))
     with _LOCK:
