@@ -34,6 +34,12 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # Streaming dedup state grows with the data: keep it in RocksDB (off the JVM
+    # heap, spills to local disk, incremental changelog checkpoints to the
+    # shared checkpoint folder) rather than in executor heap maps.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
