@@ -10,6 +10,9 @@ import __spark_entry__ as entry
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
+# Spark type name -> DuckDB type name of the same values.
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+         "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
 
@@ -49,4 +52,6 @@ def test_query_matches_oracle(spark, sf_dir, duck, name):
     cols = [d[0] for d in res.description]
     want = _rows(cols, res.fetchall())
     assert sorted(df.columns) == sorted(cols)
+    duck_types = {d[0]: str(d[1]) for d in res.description}
+    assert {c: TYPES.get(t, t) for c, t in df.dtypes} == duck_types
     assert got == want
