@@ -9,6 +9,8 @@ splits at run time.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 _PROBES: dict[tuple, bool] = {}
+# The same DataFrame object answers without re-deriving its plan key.
+_BY_FRAME: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
@@ -27,6 +31,9 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> boo
     same plan over the same files has the same rows, and a rewritten table gets
     new file names, so a changed input is probed again.
     """
+    cached = _BY_FRAME.get(df, {})
+    if max_rows in cached:
+        return cached[max_rows]
     try:
         files = tuple(sorted(df.inputFiles()))
     except Exception:  # noqa: BLE001 - sources without a file list are always probed
@@ -34,6 +41,7 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> boo
     key = (df.semanticHash(), files, max_rows)
     if key not in _PROBES:
         _PROBES[key] = df.limit(max_rows + 1).count() <= max_rows
+    _BY_FRAME.setdefault(df, {})[max_rows] = _PROBES[key]
     return _PROBES[key]
 
 
