@@ -1 +1 @@
-
+"""Column builders: parsers, classifiers, labels and keys (built-in expressions only)."""

@@ -1 +1 @@
-
+"""Inputs and sinks: the race-results fixture, CSV scans, table writes."""
