@@ -734,11 +734,16 @@ def _raw_landing(spark, sf_dir, name, drops):
 
 @register("stream_silver_obt")
 def q_stream_silver_obt(spark, sf_dir):
-    """Medallion streams, run twice as two CSV drops land: landing CSV -> bronze
-    parquet (file source), bronze parquet read as a stream -> silver (stateful
-    dedup across runs, stream-static country join)."""
+    """Medallion streams, run twice as two CSV drops land: results landing CSV ->
+    bronze parquet (file source); the country lookup CSV -> its bronze table the
+    same way; bronze results read as a stream -> silver (stateful dedup across
+    runs, stream-static join to the lookup's snapshot)."""
     schema, root, landings = _raw_landing(spark, sf_dir, "silver_stream", _two_drops)
-    lookup = lakehouse(spark, sf_dir).lookup()
+    lookup_raw = lakehouse(spark, sf_dir).lookup()
+    _land_csv(lookup_raw, f"{root}/landing_countries/drop1")
+    _stream.write_append(_csv_stream(spark, f"{root}/landing_countries", lookup_raw.schema),
+                         f"{root}/bronze_countries", f"{root}/_ckpt_countries")
+    lookup = spark.read.parquet(f"{root}/bronze_countries")
     for land in landings:
         land()
         _stream.write_append(_csv_stream(spark, f"{root}/landing", schema), f"{root}/bronze", f"{root}/_ckpt_bronze")
