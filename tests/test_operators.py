@@ -55,3 +55,27 @@ def test_top_k(spark):
     df = spark.createDataFrame([(i, i % 3) for i in range(10)], "i int, m int")
     out = sort.top_k(df, [("m", "desc"), "i"], 3)
     assert [r["i"] for r in out.collect()] == [2, 5, 8]
+
+
+def test_filters_small(spark):
+    from racelake.operators import filters
+    df = spark.createDataFrame([("a", 1.0), ("  ", 31.0), (None, 1001.0), ("unknown", None), ("xd", 0.5)],
+                               "t string, x double")
+    assert filters.blank_rows(df, "t").count() == 2
+    assert [r["t"] for r in filters.keep_known(df, "t").collect()] == ["a", "  ", "xd"]
+    assert [r["x"] for r in filters.rows_in_band(df, "x", 30, 1000).collect()] == [31.0]
+    assert [r["x"] for r in filters.rows_in_band(df, "x", 1000, None).collect()] == [1001.0]
+    assert filters.rows_outside(df, "x", 1, 100).count() == 3          # NULL, 1001, 0.5
+    assert filters.keep_suffix(df, "t", "d").count() == 1
+    assert filters.missing_rows(df, "t", ["unknown"]).count() == 2
+    assert filters.violating_rows(df, F.col("x") > 1).count() == 3     # 1.0, NULL, 0.5
+
+
+def test_approximate_profiles(spark):
+    df = spark.range(0, 20000).select((F.col("id") % 5000).alias("k"), (F.col("id") % 100).cast("double").alias("v"))
+    approx = {r["column_name"]: r["distinct_values"] for r in aggregates.profile_distinct(df, approx=True).collect()}
+    assert abs(approx["k"] - 5000) <= 150 and abs(approx["v"] - 100) <= 3
+    exact = aggregates.numeric_summary(df, ["v"]).first()
+    rough = aggregates.numeric_summary(df, ["v"], exact=False).first()
+    assert exact["p50"] == 49.5 and abs(rough["p50"] - 49.5) <= 1
+    assert exact["count"] == rough["count"] == 20000
