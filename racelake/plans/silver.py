@@ -1,10 +1,12 @@
 """Silver one-big-table: parse, validate, enrich, deduplicate, key.
 
 ``silver_columns`` derives every typed column from the raw text without
-dropping anything; ``SILVER_RULES`` is the ordered list of row rules; the
-silver table is the rows passing all rules, inner-joined to the country lookup,
-deduplicated and keyed.  ``rejection_counts`` reuses the same columns and rules
-to account for every input row in one pass (first rule broken wins).
+dropping anything; ``_rules()`` gives the row rules in the reference order
+(``SILVER_RULE_NAMES``), ``FILTER_ORDER`` the cheap-first order used for
+filtering.  The candidates are the rows passing all rules, inner-joined to the
+country lookup and keyed; the silver table is the deduplicated candidates.
+``rejection_counts`` reuses the same columns and rules to account for every
+input row (first rule broken wins).
 
 The chain is stateless up to the deduplication, so the same functions serve a
 static DataFrame and a streaming one (``racelake.streaming``).
