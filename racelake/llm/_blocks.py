@@ -20,6 +20,7 @@ counts as the largest id) and comes out as null again.
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -42,9 +43,25 @@ def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark)}/racelake-llm/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
+    del df
+    release(spark)
     return spark.read.schema(schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def drop(spark: SparkSession, df: DataFrame) -> None:
+    """Delete a stored intermediate table that no later step reads."""
+    jvm = spark.sparkContext._jvm
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from racelake.llm.op2_repetition import op2_repetition
 from racelake.llm.op7_packing import op7_packing
+from racelake.llm.op8_jaccard import op8_jaccard
+from racelake.llm.op10_hmm import op10_hmm
 
 QUERIES = {
     "op2_repetition": op2_repetition,
     "op7_packing": op7_packing,
+    "op8_jaccard": op8_jaccard,
+    "op10_hmm": op10_hmm,
 }
 ORACLES: dict[str, str] = {}
