@@ -18,6 +18,7 @@ empty table gives an empty result; columns other than ``doc_id`` and ``text`` ar
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -31,7 +32,7 @@ from racelake.llm._blocks import id_text, shuffle_partitions, store, table
 
 SEQ_LEN = 4096
 END_ID = 2
-CACHE_WORDS = 500_000  # distinct words remembered by a task; a full cache is emptied, results stay the same
+CACHE_WORDS = 600_000  # distinct pieces remembered by a worker; a full cache is emptied, results stay the same
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -40,36 +41,76 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+PLAIN = re.compile("[\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")  # here every step below is certain
+# The tokenizer's own split, for lower-cased plain text.
+SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]"
+                   "|[^\x09-\x0d\x20a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
+
+
 class WordEncoder:
     """Ids of a text as little-endian unsigned 32-bit bytes.
 
-    The tokenizer drops white space and never joins pieces across it, so each distinct
-    word is encoded once and a text is the join of its words' ids.
+    The tokenizer drops white space and merges inside the pieces of its split only, so each
+    distinct piece is encoded once and a text is the join of its pieces' ids.  Words with
+    characters outside ``PLAIN``, or that may hold a special token, go through the whole
+    tokenizer.  A worker keeps its encoder from task to task.
     """
 
+    shared: dict[str, WordEncoder] = {}
+
+    @classmethod
+    def of(cls, path: str) -> WordEncoder:
+        if path not in cls.shared:
+            cls.shared[path] = cls(path)
+        return cls.shared[path]
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.tokenize = self.tokenizer.model.tokenize
+        self.letters = dict(enumerate(_byte_letters()))
+        self.known: dict[str, bytes] = {}  # plain pieces are lower case; " " begins any other word
+
+    def _split(self, text: str) -> list[str]:
+        if PLAIN.fullmatch(text) and "<|" not in text:
+            return SPLIT.findall(text.lower())
+        out = []
+        for word in re.findall("[^\x09-\x0d\x20]+", text):
+            out += SPLIT.findall(word.lower()) if PLAIN.fullmatch(word) and "<|" not in word else [" " + word]
+        return out
+
+    def _ids(self, piece: str) -> bytes:
+        if piece[0] == " ":
+            ids = self.tokenizer.encode(piece[1:], add_special_tokens=False).ids
+        else:
+            letters = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(
+                self.letters)
+            ids = [t.id for t in self.tokenize(letters)]
+        return np.array(ids, "<u4").tobytes()
 
     def encode(self, text: bytes) -> bytes:
-        words = text.split()
-        new = set(words).difference(self.known)
-        if new:
-            if len(self.known) + len(new) > CACHE_WORDS:
-                self.known = {}
-                new = set(words)
-            todo = list(new)
-            got = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in todo], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(todo, got))
-        return b"".join(map(self.known.__getitem__, words))
+        parts = self._split(text.decode("utf-8", "replace"))
+        new = set(parts).difference(self.known)
+        if len(self.known) + len(new) > CACHE_WORDS:
+            self.known = {}
+            new = set(parts)
+        for piece in new:
+            self.known[piece] = self._ids(piece)
+        return b"".join(map(self.known.__getitem__, parts))
 
 
 def pieces(docs: DataFrame, path: str, seq_len: int = SEQ_LEN, end_id: int = END_ID) -> DataFrame:
     """One row per piece of at most ``seq_len`` ids, with the checksum of its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = WordEncoder.of(path)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out: list[tuple] = []
