@@ -270,6 +270,16 @@ def bucket_edges(sorted_hashes: np.ndarray, buckets: int) -> np.ndarray:
     return np.append(np.searchsorted(sorted_hashes, edges, side="left"), len(sorted_hashes))
 
 
+def bits_of(keys: np.ndarray, got: dict[int, bytes], buckets: int) -> np.ndarray:
+    """The bits answered for sorted distinct ``keys``."""
+    edges = bucket_edges(keys, buckets)
+    flag = np.zeros(len(keys), bool)
+    for b in np.flatnonzero(np.diff(edges)):
+        flag[edges[b]:edges[b + 1]] = np.unpackbits(np.frombuffer(got[int(b)], np.uint8),
+                                                    count=edges[b + 1] - edges[b])
+    return flag
+
+
 def slide_max(flags: np.ndarray, n: int) -> np.ndarray:
     """Whether any of ``flags[i - n + 1 : i + 1]`` is set: positions covered by flagged
     windows of ``n`` (``flags`` by window start, the result as long as ``flags``)."""
@@ -278,6 +288,26 @@ def slide_max(flags: np.ndarray, n: int) -> np.ndarray:
     return c[i + 1] > c[np.maximum(i + 1 - n, 0)]
 
 
+def lowest(h: np.ndarray, width: int) -> np.ndarray:
+    """For each run of ``width`` hashes the index of the smallest (by their top bits, the
+    first one at a tie)."""
+    bits = np.uint64(max(1, len(h).bit_length()))
+    low = (h >> bits << bits) | np.arange(len(h), dtype=np.uint64)
+    have = 1
+    while 2 * have <= width:
+        low = np.minimum(low[:-have], low[have:])
+        have *= 2
+    if have < width:
+        low = np.minimum(low[:len(low) - (width - have)], low[width - have:])
+    return (low & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+
+
+def gather_spans(data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The concatenated slices of ``data``."""
+    skip = np.cumsum(length) - length
+    return data[np.repeat(begin - skip, length) + np.arange(int(length.sum()))]
+
+
 # ------------------------------------------------------------------ the exchange
 
 SENT = "bucket int, block long, keys binary, counts binary"
@@ -322,3 +352,23 @@ def meet(blocks: DataFrame, answers: DataFrame,
 
     return (blocks.groupBy("block").cogroup(answers.groupBy("block"))
             .applyInArrow(run, schema))
+
+
+def merge_shared(keys: list[bytes], counts: list[bytes]) -> list[bytes]:
+    """Per sent key a bit: more than one block has it, or one block says so itself."""
+    k = np.concatenate([np.frombuffer(x, "<u4") for x in keys]).astype(np.uint64)
+    many = np.concatenate([np.unpackbits(np.frombuffer(c, np.uint8), count=len(x) // 4)
+                           for x, c in zip(keys, counts)]).astype(np.int64)
+    key = (k << np.uint64(32)) | np.arange(len(k), dtype=np.uint64)
+    key.sort()
+    at = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    fp = key >> np.uint64(32)
+    new = np.ones(len(fp), bool)
+    new[1:] = fp[1:] != fp[:-1]
+    heads = np.flatnonzero(new)
+    size = np.diff(np.append(heads, len(fp)))
+    flag = (size > 1) | (np.add.reduceat(many[at], heads) > 0)
+    out = np.empty(len(k), bool)
+    out[at] = np.repeat(flag, size)
+    ends = np.cumsum([0] + [len(x) // 4 for x in keys])
+    return [np.packbits(out[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:])]

@@ -54,15 +54,7 @@ class Stretches:
             self.begin = self.end = self.doc = np.empty(0, np.int64)
             self.anchor = np.empty(0, np.uint64)
             return
-        bits = np.uint64(len(grams).bit_length())
-        low = (grams >> bits << bits) | np.arange(len(grams), dtype=np.uint64)
-        width, have = n - k + 1, 1
-        while 2 * have <= width:
-            low = np.minimum(low[:-have], low[have:])
-            have *= 2
-        if have < width:
-            low = np.minimum(low[:len(low) - (width - have)], low[width - have:])
-        where = (low & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        where = B.lowest(grams, n - k + 1)
         inside = np.zeros(len(data) + 1, np.int32)
         long = block.lens >= n
         np.add.at(inside, block.starts[long], 1)
@@ -82,12 +74,7 @@ class Stretches:
     def shared(self, got: dict[int, bytes], buckets: int) -> np.ndarray:
         """Which stretches have an anchor that two documents hold."""
         keys = B.distinct(np.sort(self.anchor))
-        edges = B.bucket_edges(keys, buckets)
-        flag = np.zeros(len(keys), bool)
-        for b in np.flatnonzero(np.diff(edges)):
-            s = slice(edges[b], edges[b + 1])
-            flag[s] = np.unpackbits(np.frombuffer(got[int(b)], np.uint8), count=edges[b + 1] - edges[b])
-        return flag[np.searchsorted(keys, self.anchor)]
+        return B.bits_of(keys, got, buckets)[np.searchsorted(keys, self.anchor)]
 
     def entries(self, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Stretches ``keep`` by (anchor, content, id): their order, which are the first of
@@ -123,26 +110,6 @@ def _send_anchors(buckets: int, n: int, k: int):
     return make
 
 
-def merge_shared(keys: list[bytes], counts: list[bytes]) -> list[bytes]:
-    """Per sent key a bit: more than one block has it, or one block says so itself."""
-    k = np.concatenate([np.frombuffer(x, "<u4") for x in keys]).astype(np.uint64)
-    many = np.concatenate([np.unpackbits(np.frombuffer(c, np.uint8), count=len(x) // 4)
-                           for x, c in zip(keys, counts)]).astype(np.int64)
-    key = (k << np.uint64(32)) | np.arange(len(k), dtype=np.uint64)
-    key.sort()
-    at = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    fp = key >> np.uint64(32)
-    new = np.ones(len(fp), bool)
-    new[1:] = fp[1:] != fp[:-1]
-    heads = np.flatnonzero(new)
-    size = np.diff(np.append(heads, len(fp)))
-    flag = (size > 1) | (np.add.reduceat(many[at], heads) > 0)
-    out = np.empty(len(k), bool)
-    out[at] = np.repeat(flag, size)
-    ends = np.cumsum([0] + [len(x) // 4 for x in keys])
-    return [np.packbits(out[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:])]
-
-
 def _zip(a: bytes) -> bytes:
     return pa.compress(a, codec="zstd", asbytes=True)
 
@@ -151,12 +118,6 @@ def _unzip(a: bytes, size: int) -> bytes:
     return pa.decompress(a, decompressed_size=size, codec="zstd", asbytes=True) if size else b""
 
 
-def _gather(data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """The concatenated slices of ``data``."""
-    skip = np.cumsum(length) - length
-    return data[np.repeat(begin - skip, length) + np.arange(int(length.sum()))]
-
-
 def _send_text(blocks: DataFrame, answers: DataFrame, buckets: int, n: int, k: int) -> DataFrame:
     def make(block: B.Block, got: dict[int, bytes]) -> pa.Table:
         s = Stretches(block, n, k)
@@ -168,7 +129,7 @@ def _send_text(blocks: DataFrame, answers: DataFrame, buckets: int, n: int, k: i
         rows: list[tuple] = []
         for b in np.flatnonzero(np.diff(edges)):
             x = slice(edges[b], edges[b + 1])
-            rows.append((int(b), block.block, _zip(_gather(block.data, s.begin[at][x], length[x]).tobytes()),
+            rows.append((int(b), block.block, _zip(B.gather_spans(block.data, s.begin[at][x], length[x]).tobytes()),
                          _zip(ids[x].tobytes() + length[x].astype("<u4").tobytes()) +
                          len(ids[x]).to_bytes(8, "little")))
         cols = list(zip(*rows)) if rows else [()] * 4
@@ -296,7 +257,7 @@ def remove_earlier_matches(spark: SparkSession, docs: DataFrame, n: int = N, k:
         raise ValueError("the k-gram must be at most 63 bytes shorter than the window")
     blocks = B.to_blocks(spark, docs)
     buckets = B.n_buckets(spark, blocks, BUCKET_BYTES)
-    shared = B.store(spark, B.answer(B.send(blocks, _send_anchors(buckets, n, k)), merge_shared), "anchors")
+    shared = B.store(spark, B.answer(B.send(blocks, _send_anchors(buckets, n, k)), B.merge_shared), "anchors")
     matched = B.answer(_send_text(blocks, shared, buckets, n, k), _merge_text(n))
     matched = B.store(spark, matched.withColumn("bucket", matched.bucket + buckets), "matches")
     return B.meet(blocks, shared.union(matched), _remove(buckets, n, k), SCHEMA)
