@@ -5,6 +5,7 @@ from __future__ import annotations
 from racelake.llm.op1_suffix import op1_suffix
 from racelake.llm.op2_repetition import op2_repetition
 from racelake.llm.op4_debruijn import op4_debruijn
+from racelake.llm.op5_style_tree import op5_style_tree
 from racelake.llm.op7_packing import op7_packing
 from racelake.llm.op8_jaccard import op8_jaccard
 from racelake.llm.op10_hmm import op10_hmm
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_suffix": op1_suffix,
     "op2_repetition": op2_repetition,
     "op4_debruijn": op4_debruijn,
+    "op5_style_tree": op5_style_tree,
     "op7_packing": op7_packing,
     "op8_jaccard": op8_jaccard,
     "op10_hmm": op10_hmm,
