@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from racelake.session import checkpoint_dir
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 BUCKET_BYTES = 8 << 20  # text bytes per bucket: keeps a bucket's arrays small at any input size
 NULL_ID = np.iinfo(np.int64).max
 BLOCK_SCHEMA = "block long, n_bytes long, ids binary, lens binary, data binary"

@@ -36,7 +36,7 @@ from racelake.llm import _blocks as B
 
 N = 50
 K = 24
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
 ALL = (1 << 64) - 1
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 

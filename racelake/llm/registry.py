@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from racelake.llm.op1_suffix import op1_suffix
 from racelake.llm.op2_repetition import op2_repetition
+from racelake.llm.op3_decontaminate import op3_decontaminate
 from racelake.llm.op4_debruijn import op4_debruijn
 from racelake.llm.op5_style_tree import op5_style_tree
 from racelake.llm.op7_packing import op7_packing
@@ -13,6 +14,7 @@ from racelake.llm.op10_hmm import op10_hmm
 QUERIES = {
     "op1_suffix": op1_suffix,
     "op2_repetition": op2_repetition,
+    "op3_decontaminate": op3_decontaminate,
     "op4_debruijn": op4_debruijn,
     "op5_style_tree": op5_style_tree,
     "op7_packing": op7_packing,
