@@ -9,6 +9,7 @@ from racelake.llm.op4_debruijn import op4_debruijn
 from racelake.llm.op5_style_tree import op5_style_tree
 from racelake.llm.op7_packing import op7_packing
 from racelake.llm.op8_jaccard import op8_jaccard
+from racelake.llm.op9_pii import op9_pii
 from racelake.llm.op10_hmm import op10_hmm
 
 QUERIES = {
@@ -19,6 +20,7 @@ QUERIES = {
     "op5_style_tree": op5_style_tree,
     "op7_packing": op7_packing,
     "op8_jaccard": op8_jaccard,
+    "op9_pii": op9_pii,
     "op10_hmm": op10_hmm,
 }
 ORACLES: dict[str, str] = {}
