@@ -7,6 +7,7 @@ from racelake.llm.op2_repetition import op2_repetition
 from racelake.llm.op3_decontaminate import op3_decontaminate
 from racelake.llm.op4_debruijn import op4_debruijn
 from racelake.llm.op5_style_tree import op5_style_tree
+from racelake.llm.op6_fuzzy_lines import op6_fuzzy_lines
 from racelake.llm.op7_packing import op7_packing
 from racelake.llm.op8_jaccard import op8_jaccard
 from racelake.llm.op9_pii import op9_pii
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op4_debruijn": op4_debruijn,
     "op5_style_tree": op5_style_tree,
+    "op6_fuzzy_lines": op6_fuzzy_lines,
     "op7_packing": op7_packing,
     "op8_jaccard": op8_jaccard,
     "op9_pii": op9_pii,
