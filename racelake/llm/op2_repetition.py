@@ -126,5 +126,20 @@ def repetition(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return B.id_text(docs).mapInArrow(run, SCHEMA)
 
 
+def keep(docs: DataFrame) -> DataFrame:
+    """``docs`` (all columns) without the documents that the rules reject."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            two = pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(batch.num_rows)), batch.column("text").cast(pa.string())], names=["i", "text"])
+            verdict = [measure(block).column("kept") for block in B.batched(iter([two]))]
+            yield batch.filter(pa.concat_arrays([c for v in verdict for c in v.chunks]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(spark, B.table(spark, sf_dir, "documents"))
