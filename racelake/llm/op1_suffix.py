@@ -69,7 +69,7 @@ class Stretches:
         self.begin, self.end = begin[ok], end[ok]
         self.doc = B.per_doc(self.begin, block)
         # a run that spans two documents cannot be: the windows between them are not valid
-        self.anchor = grams[where[self.begin]]
+        self.anchor = B.mix(grams[where[self.begin]])  # minima are small numbers: spread them over the buckets
 
     def shared(self, got: dict[int, bytes], buckets: int) -> np.ndarray:
         """Which stretches have an anchor that two documents hold."""
