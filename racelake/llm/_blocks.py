@@ -38,13 +38,16 @@ NULL_ID = np.iinfo(np.int64).max
 BLOCK_SCHEMA = "block long, n_bytes long, ids binary, lens binary, data binary"
 
 
-def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back (cuts the lineage durably)."""
+def store(spark: SparkSession, df: DataFrame, name: str, free: bool = True) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back (cuts the lineage durably).
+
+    ``free`` lets Spark delete the shuffle files behind it at once; small steps leave that to a later one."""
     path = f"{checkpoint_dir(spark)}/racelake-llm/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
     del df
-    release(spark)
+    if free:
+        release(spark)
     return spark.read.schema(schema).parquet(path)
 
 

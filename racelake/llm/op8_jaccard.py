@@ -233,8 +233,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
             .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
     more = B.store(spark, more.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
                                     ["a", "b"], "left_anti"), "more-pairs")
-    rest = B.store(spark, _linked(parts, more), "more-links")
-    label = components(spark, links.union(rest))
+    if not more.isEmpty():
+        label = components(spark, links.union(B.store(spark, _linked(parts, more), "more-links")))
 
     lowest = live.groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(B.NULL_ID))).alias("low"))
     group = (lowest.join(label, "node", "left").select("node", "low", F.coalesce("label", "node").alias("label")))
