@@ -29,8 +29,8 @@ def normalize_code(c: Column | str) -> Column:
 def clean_birth_year(c: Column | str) -> Column:
     """Known typo year 1193 -> NULL, otherwise the integer year (NULL when the
     value cannot be an int, instead of an ANSI cast error)."""
-    c = as_col(c)
-    return F.when(c == BIRTH_YEAR_SENTINEL, F.lit(None).cast("int")).otherwise(c.try_cast("int"))
+    year = as_col(c).try_cast("int")
+    return F.when(year != BIRTH_YEAR_SENTINEL, year)
 
 
 def age_at_event(event_year: Column | str, birth_year: Column | str,

@@ -2,14 +2,14 @@
 
 Layouts (fixed values, anchored; NULL or anything else is ``unknown_format``):
 
-- ``single_date``                 ``07.12.1991``
-- ``date_range_same_month``       ``23.-24.11.1991``
-- ``date_range_different_month``  ``30.10.-03.11.1991`` (start year = end year,
+- ``single_date``                 ``05.04.2003``
+- ``date_range_same_month``       ``11.-12.06.2005``
+- ``date_range_different_month``  ``29.05.-02.06.2007`` (start year = end year,
                                   minus one when the start month is later)
-- ``date_range_different_year``   ``31.12.1992-01.01.1993``
+- ``date_range_different_year``   ``30.12.2009-02.01.2010``
 
 Every piece is rebuilt as ``dd.MM.yyyy`` text and parsed with ``try_to_date``,
-so impossible dates such as ``00.06.1991`` or ``31.02.1991`` become NULL rather
+so impossible dates such as ``00.08.2004`` or ``30.02.2011`` become NULL rather
 than failing the job.
 """
 

@@ -1,64 +1,25 @@
 """Joins: lookup enrichment, star joins, key audits, duplicate-key lookups.
 
-Broadcast policy: a side is broadcast only after a bounded probe proves it holds
-at most ``max_rows`` rows (``limit(max_rows + 1).count()`` stops reading early,
-so the probe costs little even when the side is large).  Beyond the bound the
-join is left to Catalyst and AQE: a shuffle join whose skewed partitions AQE
-splits at run time.
+Broadcast policy: none of these joins carries a hint.  Spark broadcasts a side whose size in
+bytes (file statistics at planning, shuffle statistics under AQE) is within
+``spark.sql.autoBroadcastJoinThreshold`` and otherwise runs a shuffle join whose skewed
+partitions AQE splits; no job runs while a query is built.
 """
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimensions whose size is bounded by construction (a country lookup, a
-# calendar) are probed against this bound before they are broadcast.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-_PROBES: dict[tuple, bool] = {}
-# The same DataFrame object answers without re-deriving its plan key.
-_BY_FRAME: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    The answer is remembered per (canonical plan, exact input file list): the
-    same plan over the same files has the same rows, and a rewritten table gets
-    new file names, so a changed input is probed again.
-    """
-    cached = _BY_FRAME.get(df, {})
-    if max_rows in cached:
-        return cached[max_rows]
-    try:
-        files = tuple(sorted(df.inputFiles()))
-    except Exception:  # noqa: BLE001 - sources without a file list are always probed
-        return df.limit(max_rows + 1).count() <= max_rows
-    key = (df.semanticHash(), files, max_rows)
-    if key not in _PROBES:
-        _PROBES[key] = df.limit(max_rows + 1).count() <= max_rows
-    _BY_FRAME.setdefault(df, {})[max_rows] = _PROBES[key]
-    return _PROBES[key]
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when the row bound is proven, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
 
 def enrich(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str,
-           how: str = "inner", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           how: str = "inner") -> DataFrame:
     """Equi-join to a lookup and drop the lookup's copy of the key.
 
     Works for a batch or a streaming ``df`` (stream-static join); unmatched rows
     are dropped by the inner join.
     """
-    side = bounded_broadcast(lookup, max_rows)
-    return df.join(side, df[left_key] == side[right_key], how).drop(side[right_key])
+    return df.join(lookup, df[left_key] == lookup[right_key], how).drop(lookup[right_key])
 
 
 def join_star(fact: DataFrame, dims, how: str = "inner") -> DataFrame:
@@ -76,6 +37,13 @@ def join_star(fact: DataFrame, dims, how: str = "inner") -> DataFrame:
     return out
 
 
+def missing_key_counts(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """(key, row_count) of the keys without a dimension row.  The fact is counted per key
+    before the anti join, so a hot key sends one row per task; NULL keys count as missing."""
+    counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("row_count"))
+    return counts.join(dim.select(key), on=key, how="left_anti")
+
+
 def missing_keys(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Fact rows whose key has no dimension row (explicit anti join; the
     ``LEFT JOIN ... IS NULL`` form stays an outer join in Catalyst)."""

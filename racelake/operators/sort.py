@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from racelake.session import default_parallelism
-
 
 def _sort_col(spec) -> Column:
     """``"c"`` ascending, ``("c", "desc")``, ``("c", "asc_nulls_first")`` ..."""
@@ -30,16 +28,3 @@ def top_k(df: DataFrame, specs, k: int) -> DataFrame:
     keeps only its own k best rows, so nothing beyond k rows per task moves.
     Give a unique tie-breaker last so the k rows are well defined."""
     return df.orderBy(*[_sort_col(s) for s in specs]).limit(k)
-
-
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin a DataFrame over the cluster's cores when it is read from
-    fewer files than there are cores and the next stage is CPU-bound (a small
-    input in one or two unsplittable files would otherwise run in one or two
-    tasks).  The check uses the scan's file list only - no job runs.  A large
-    input has far more files than cores and is returned unchanged, so no
-    shuffle is added at scale."""
-    cores = default_parallelism(df.sparkSession)
-    if len(df.inputFiles()) < cores:
-        return df.repartition(cores)
-    return df

@@ -10,7 +10,6 @@ live in the shared folder named by ``spark.checkpoint.dir`` (see
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from racelake.plans import silver as silver_plan
 from racelake.plans import star
 from racelake.session import app_id, lake_root
+from racelake.sources.files import COUNTRIES_SCHEMA, RESULTS_SCHEMA, read_csv
 from racelake.sources.fixture import country_lookup_raw, race_results_raw
 
 _LOCK = threading.RLock()
@@ -33,10 +33,11 @@ class Lakehouse:
         DataFrame builders; by default both are derived from the supplied
         tables in ``sf_dir`` (the fixture)."""
         self.spark = spark
-        self.sf_dir = os.path.abspath(sf_dir)
+        self.sf_dir = sf_dir.rstrip("/")  # a path or a URI: only Spark opens it
         digest = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:12]
         self.root = root or f"{lake_root(spark)}/{digest}"
         self._built: dict[str, DataFrame] = {}
+        self._version = 0
         sources = sources or {}
         self._builders = {
             "bronze_results": sources.get("bronze_results", lambda: race_results_raw(spark, self.sf_dir)),
@@ -53,7 +54,19 @@ class Lakehouse:
         }
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        """Folder of a table; a refresh writes to a new one, so open readers keep their files."""
+        return f"{self.root}/{name}" if not self._version else f"{self.root}/v{self._version}/{name}"
+
+    def refresh(self) -> None:
+        """Forget the built layers and views: the next use builds them from the sources as they are then."""
+        with _LOCK:
+            self._built = {}
+            self._version += 1
+
+    def view(self, name: str, build) -> DataFrame:
+        """A stored view: ``build(lake)`` written on first use after a refresh, then read back."""
+        self._builders.setdefault(name, lambda: build(self))
+        return self.table(name)
 
     def table(self, name: str) -> DataFrame:
         """The materialised table (built on first use, then read back once;
@@ -85,18 +98,15 @@ class Lakehouse:
 def csv_lakehouse(spark: SparkSession, results_csv: str, countries_csv: str,
                   root: str | None = None) -> Lakehouse:
     """A lake over real input files: the race-results CSV folder and the country
-    lookup CSV folder (header row, types inferred, text kept byte for byte)."""
-    from racelake.sources.files import read_csv
-
-    key = os.path.abspath(results_csv) + "|" + os.path.abspath(countries_csv)
-    return Lakehouse(spark, key, root=root, sources={
-        "bronze_results": lambda: read_csv(spark, results_csv, infer=True),
-        "bronze_country_codes": lambda: read_csv(spark, countries_csv, infer=True),
+    lookup CSV folder (header row, the fixed schemas, text kept byte for byte)."""
+    return Lakehouse(spark, f"{results_csv}|{countries_csv}", root=root, sources={
+        "bronze_results": lambda: read_csv(spark, results_csv, RESULTS_SCHEMA),
+        "bronze_country_codes": lambda: read_csv(spark, countries_csv, COUNTRIES_SCHEMA),
     })
 
 
 def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
-    key = (app_id(spark), os.path.abspath(sf_dir))
+    key = (app_id(spark), sf_dir.rstrip("/"))
     with _LOCK:
         lake = _LAKES.get(key)
         if lake is None:

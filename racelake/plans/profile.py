@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from racelake.functions import athlete, distance, speed
 from racelake.functions.columns import snake_case_columns
 from racelake.operators.aggregates import value_counts
-from racelake.operators.filters import rows_in_band
 
 
 def snake(raw: DataFrame) -> DataFrame:
@@ -38,12 +37,10 @@ def club_pattern_counts(raw: DataFrame) -> DataFrame:
 
 def speed_outlier_bands(raw: DataFrame) -> DataFrame:
     """Rows of raw numeric speed in (30, 1000] and above 1000."""
-    r = snake(raw).select(speed.raw_speed_numeric("athlete_average_speed").alias("speed"))
-    medium = rows_in_band(r, "speed", 30, 1000).agg(F.count(F.lit(1)).alias("row_count")) \
-        .withColumn("speed_band", F.lit("above_30_up_to_1000"))
-    high = rows_in_band(r, "speed", 1000, None).agg(F.count(F.lit(1)).alias("row_count")) \
-        .withColumn("speed_band", F.lit("above_1000"))
-    return medium.unionByName(high)
+    value = speed.raw_speed_numeric("athlete_average_speed")
+    wide = snake(raw).agg(F.count_if((value > 30) & (value <= 1000)).alias("medium"),
+                          F.count_if(value > 1000).alias("high"))
+    return wide.selectExpr("stack(2, 'above_30_up_to_1000', medium, 'above_1000', high) as (speed_band, row_count)")
 
 
 def rescaled_speeds(raw: DataFrame) -> DataFrame:
@@ -57,3 +54,26 @@ def blank_text_counts(raw: DataFrame, cols) -> DataFrame:
     r = snake(raw)
     return r.agg(*[F.count_if(F.col(c).isNull() | (F.length(F.trim(F.col(c))) == 0)).alias(f"blank_{c}")
                    for c in cols])
+
+
+# The looser classes of raw distance text and the endings of raw performance text, in order.
+EVENT_UNIT_TYPES = [("days_invalid", "rlike", r"\d+d$"), ("distance_km", "contains", "km"),
+                    ("distance_mi", "contains", "mi"), ("time_hours", "rlike", r"\d+h$")]
+PERFORMANCE_SUFFIXES = [("time_hours", " h"), ("distance_km", " km"), ("distance_mi", " mi")]
+
+
+def event_unit_distribution(raw: DataFrame) -> DataFrame:
+    """Rows per coarse unit of the distance text (unanchored tests, first match wins)."""
+    text = distance.normalized_distance("event_distance_length")
+    label = F.coalesce(*[F.when(text.rlike(p) if how == "rlike" else text.contains(p), F.lit(name))
+                         for name, how, p in EVENT_UNIT_TYPES], F.lit("other"))
+    return value_counts(raw.select(label.alias("event_unit_type")), "event_unit_type")
+
+
+def performance_suffix_counts(raw: DataFrame) -> DataFrame:
+    """Rows per ending of the performance text."""
+    text = F.col("athlete_performance")
+    label = F.coalesce(F.when(text.isNull(), F.lit("null")),
+                       *[F.when(text.endswith(end), F.lit(name)) for name, end in PERFORMANCE_SUFFIXES],
+                       F.lit("unknown"))
+    return value_counts(raw.select(label.alias("performance_type")), "performance_type")

@@ -23,7 +23,6 @@ from racelake.functions import athlete, dates, distance, keys, performance, spee
 from racelake.functions.columns import snake_case_columns
 from racelake.operators.filters import consistent
 from racelake.operators.joins import enrich
-from racelake.operators.sort import spread_small_input
 
 # The columns a result is deduplicated on.
 DEDUP_COLUMNS = [
@@ -107,7 +106,7 @@ def _rules() -> list[tuple[str, Column]]:
     return [
         ("unparseable_event_dates", c("event_start_date").isNotNull() & c("event_end_date").isNotNull()),
         ("invalid_event_distance", c(DISTANCE_CLASS).isin(*distance.KEPT_DISTANCE_CLASSES)),
-        ("no_finishers", c("event_number_of_finishers").isNotNull() & (c("event_number_of_finishers") > 0)),
+        ("no_finishers", F.coalesce(c("event_number_of_finishers").try_cast("int") > 0, F.lit(False))),
         ("unknown_performance", ~c("athlete_performance_type").isin("null", "unknown")),
         ("performance_unit_mismatch",
          consistent("event_distance_unit", "athlete_performance_type", UNIT_PERFORMANCE_PAIRS)),
@@ -160,8 +159,7 @@ def valid_rows(raw: DataFrame) -> DataFrame:
 
 
 def enrich_country(df: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Inner join to the cleaned country lookup (a reference table, broadcast
-    after a bounded size probe); rows without a match are dropped."""
+    """Inner join to the cleaned country lookup; rows without a match are dropped."""
     return enrich(df, clean_country_lookup(lookup), "athlete_country", "athlete_country_code")
 
 
@@ -171,7 +169,7 @@ def add_keys(df: DataFrame) -> DataFrame:
 
 def build_candidates(raw: DataFrame, lookup: DataFrame) -> DataFrame:
     """Valid, enriched and keyed rows before deduplication (30 columns)."""
-    rows = enrich_country(valid_rows(spread_small_input(raw)), lookup)
+    rows = enrich_country(valid_rows(raw), lookup)
     base = [c for c in SILVER_COLUMNS if c not in ("event_id", "result_id")]
     return add_keys(rows.select(*base)).select(*SILVER_COLUMNS)
 
@@ -202,11 +200,11 @@ def rejection_counts(raw: DataFrame, lookup: DataFrame, candidates: DataFrame |
     Buckets: the first silver rule a row breaks (reference order), then
     ``no_country_match`` for valid rows without a lookup match, ``duplicate``
     for repeated rows, and ``kept``.  Rejections come from one scan and one
-    left join to the (broadcast) lookup; kept and duplicate rows are the row
+    left join to the lookup; kept and duplicate rows are the row
     counts of the materialised candidates and silver tables when given
     (otherwise they are derived here).
     """
-    derived = silver_columns(spread_small_input(raw))
+    derived = silver_columns(raw)
     reason = None
     for name, rule in _rules():
         broken = ~F.coalesce(rule, F.lit(False))

@@ -1,10 +1,8 @@
 """Gold analytical views over the star schema.
 
-Join strategy: ``dim_country`` (bounded by the country lookup) and ``dim_date``
-(bounded by the calendar) are broadcast after a bounded row probe;
-``dim_event`` is filtered to one distance type first and probed the same way.
-``dim_athlete`` grows with the data and is left to Catalyst/AQE: a shuffle join
-on ``athlete_id`` whose skewed partitions (a very active athlete) AQE splits.
+Join strategy: no hints.  Spark broadcasts a dimension whose files are within its size
+threshold (the country lookup, the calendar; small ``dim_event``) and otherwise joins by
+shuffle, where AQE splits skewed partitions (a very active athlete).
 
 Averages of the 3-decimal speed use ``fixed_point_avg`` (exact, independent of
 partitioning); ``COUNT(DISTINCT ...)`` groups are planned by Catalyst with the
@@ -17,9 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from racelake.functions.athlete import age_group_label, business_age_group, gender_label
+from racelake.functions.performance import DISTANCE_TYPES, TIME_TYPES
 from racelake.operators.aggregates import fixed_point_avg, rounded_avg, share_of_total
 from racelake.operators.filters import keep_known
-from racelake.operators.joins import bounded_broadcast
 
 # Which fact measure each distance-type view shows.
 VIEW_MEASURE = {
@@ -28,17 +26,27 @@ VIEW_MEASURE = {
     "time_hours": "athlete_performance_distance",
 }
 
+# Which performance types a result of each distance type can have.
+VIEW_PERFORMANCE = {
+    "distance_km": TIME_TYPES,
+    "distance_mi": TIME_TYPES,
+    "time_hours": DISTANCE_TYPES,
+}
+
 
 def _star(fact: DataFrame, dims: dict[str, DataFrame], distance_type: str | None,
           how: str = "inner") -> DataFrame:
     event = dims["event"]
     if distance_type is not None:
         event = event.filter(F.col("event_distance_type") == distance_type)
+        # A result's performance type fits its event's unit (a silver rule), so the scan of the
+        # fact can skip the results of the other units.
+        fact = fact.filter(F.col("athlete_performance_type").isin(*VIEW_PERFORMANCE[distance_type]))
     return (fact
-            .join(bounded_broadcast(event), "event_id", how)
+            .join(event, "event_id", how)
             .join(dims["athlete"], "athlete_id", how)
-            .join(bounded_broadcast(dims["country"]), "country_code_iso3", how)
-            .join(bounded_broadcast(dims["date"]), "date_id", how))
+            .join(dims["country"], "country_code_iso3", how)
+            .join(dims["date"], "date_id", how))
 
 
 def distance_type_results(fact: DataFrame, dims: dict[str, DataFrame], distance_type: str) -> DataFrame:
@@ -64,7 +72,7 @@ def _activity_aggs(events_name: str):
 
 
 def global_leaderboard(fact: DataFrame, dim_country: DataFrame) -> DataFrame:
-    return (fact.join(bounded_broadcast(dim_country), "country_code_iso3")
+    return (fact.join(dim_country, "country_code_iso3")
             .groupBy("country_name", "country_code_iso3")
             .agg(*_activity_aggs("events_participated"))
             .select("country_name", F.col("country_code_iso3").alias("country_code"),
@@ -74,7 +82,7 @@ def global_leaderboard(fact: DataFrame, dim_country: DataFrame) -> DataFrame:
 
 def seasonal_race_trends(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Per year and month; grouped by month number, which is not shown."""
-    return (fact.join(bounded_broadcast(dim_date), "date_id")
+    return (fact.join(dim_date, "date_id")
             .groupBy("year", "month", "month_name")
             .agg(*_activity_aggs("events_held"))
             .select(F.col("year").alias("race_year"), F.col("month_name").alias("race_month"),
@@ -84,8 +92,8 @@ def seasonal_race_trends(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def country_seasonal_trends(fact: DataFrame, dim_date: DataFrame, dim_country: DataFrame) -> DataFrame:
     """Per year, month and the athlete's country (not the venue's)."""
-    return (fact.join(bounded_broadcast(dim_date), "date_id")
-            .join(bounded_broadcast(dim_country), "country_code_iso3")
+    return (fact.join(dim_date, "date_id")
+            .join(dim_country, "country_code_iso3")
             .groupBy("year", "month", "month_name", "country_name")
             .agg(*_activity_aggs("events_held"))
             .select(F.col("year").alias("race_year"), F.col("month_name").alias("race_month"),

@@ -28,7 +28,7 @@ from racelake.plans import profile as _prof
 from racelake.plans import quality as _dq
 from racelake.plans import silver as _silver
 from racelake.plans import views
-from racelake.plans.lakehouse import lakehouse
+from racelake.plans.lakehouse import Lakehouse, lakehouse
 from racelake.sources import files as _files
 from racelake.streaming import ingest as _stream
 
@@ -600,7 +600,8 @@ def q_repeat_athletes(spark, sf_dir):
 @register("numeric_summary")
 def q_numeric_summary(spark, sf_dir):
     return _agg.numeric_summary(_raw(spark, sf_dir),
-                                ["year_of_event", "event_number_of_finishers", "athlete_year_of_birth"])
+                                ["year_of_event", "event_number_of_finishers", "athlete_year_of_birth"],
+                                exact=True)  # years and counts: bounded domains
 
 
 @register("null_percentages")
@@ -642,6 +643,68 @@ def q_top_speeds(spark, sf_dir):
     return top_k(s, [("athlete_average_speed_kmh", "desc"), "result_id"], 100)
 
 
+SPEEDING_COLUMNS = ["year_of_event", "event_name", "event_distance_length", "athlete_performance",
+                    "athlete_average_speed", "athlete_average_speed_kmh", "athlete_country", "athlete_id"]
+
+
+@register("speed_over_limit_count")
+def q_speed_over_limit_count(spark, sf_dir):
+    """Rows faster than the limit: before the speed rule, and in silver (none by the rule)."""
+    over = F.count_if(F.col("athlete_average_speed_kmh") > _speed.SPEED_MAX_KMH).alias("row_count")
+    before = _derived(spark, sf_dir).agg(over).select(F.lit("before_rules").alias("stage"), "row_count")
+    return before.unionByName(lakehouse(spark, sf_dir).silver().agg(over).select(
+        F.lit("silver").alias("stage"), "row_count"))
+
+
+@register("speed_over_limit_top")
+def q_speed_over_limit_top(spark, sf_dir):
+    """The 100 fastest rows above the limit, before the speed rule."""
+    rows = _derived(spark, sf_dir).filter(F.col("athlete_average_speed_kmh") > _speed.SPEED_MAX_KMH)
+    order = [("athlete_average_speed_kmh", "desc")] + [
+        (c, "asc_nulls_last") for c in SPEEDING_COLUMNS if c != "athlete_average_speed_kmh"]
+    return top_k(rows.select(*SPEEDING_COLUMNS), order, 100)
+
+
+@register("event_unit_distribution")
+def q_event_unit_distribution(spark, sf_dir):
+    return _prof.event_unit_distribution(_raw(spark, sf_dir))
+
+
+@register("predicate_share")
+def q_predicate_share(spark, sf_dir):
+    return _agg.predicate_share(_raw(spark, sf_dir), F.col("event_distance_length").contains("Etappen"), "multistage")
+
+
+@register("performance_suffix_counts")
+def q_performance_suffix_counts(spark, sf_dir):
+    return _prof.performance_suffix_counts(_raw(spark, sf_dir))
+
+
+@register("missing_text_none")
+def q_missing_text_none(spark, sf_dir):
+    """Rows whose distance is missing: NULL, or the text ``None``; and rows with the text ``None`` as club."""
+    columns = ["year_of_event", "event_dates", "event_name", "event_distance_length", "athlete_club", "athlete_id"]
+    r = _raw(spark, sf_dir).withColumn("club_or_distance", F.when(
+        F.col("event_distance_length").isNull(), F.lit(None)).otherwise(F.coalesce("athlete_club", F.lit("None"))))
+    return _flt.missing_rows(r, "club_or_distance").select(*columns)
+
+
+@register("view_refresh")
+def q_view_refresh(spark, sf_dir):
+    """A stored view before and after new source files: built on the first delivery, refreshed after the second."""
+    schema, root, landings = _raw_landing(spark, sf_dir, "view_refresh", _two_drops)
+    lookup = lakehouse(spark, sf_dir).lookup()
+    reader = spark.read.format("csv").options(**_files.CSV_OPTIONS).option("recursiveFileLookup", "true").schema(schema)
+    lake = Lakehouse(spark, f"{root}/landing", root=f"{root}/tables", sources={
+        "bronze_results": lambda: reader.load(f"{root}/landing"), "bronze_country_codes": lambda: lookup})
+    for land in landings:
+        land()
+        lake.refresh()
+        board = lake.view("vw_global_leaderboard",
+                          lambda lk: views.global_leaderboard(lk.fact(), lk.dims()["country"]))
+    return board
+
+
 @register("dim_preview")
 def q_dim_preview(spark, sf_dir):
     return top_k(lakehouse(spark, sf_dir).table("dim_date"), ["event_start_date"], 100)
@@ -650,30 +713,32 @@ def q_dim_preview(spark, sf_dir):
 # ------------------------------------------------------------ sources, sinks, streams
 
 
-# Exact timestamps through CSV text (the default keeps milliseconds only).
-_TS_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-               "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-
-
 def _scratch(spark, sf_dir, name: str) -> str:
     """A fresh folder under the lake root (shared storage), one per call."""
     return f"{lakehouse(spark, sf_dir).root}/io/{name}-{uuid.uuid4().hex[:8]}"
 
 
 def _land_csv(df, path: str) -> None:
-    df.write.mode("overwrite").options(**_files.CSV_OPTIONS).options(**_TS_OPTIONS).csv(path)
+    df.write.mode("overwrite").options(**_files.CSV_OPTIONS).options(**_files.TIMESTAMP_OPTIONS).csv(path)
 
 
-def _csv_stream(spark, path, schema):
-    return (spark.readStream.format("csv").options(**_files.CSV_OPTIONS).options(**_TS_OPTIONS)
-            .option("recursiveFileLookup", "true").schema(schema).load(path))
+_LANDED: dict[str, str] = {}
 
 
 def _raw_csv(spark, sf_dir) -> str:
-    """The bronze race results landed as CSV files (header = raw column names)."""
-    path = _scratch(spark, sf_dir, "raw_csv")
-    _files.write_csv(lakehouse(spark, sf_dir).raw(), path)
-    return path
+    """The bronze race results landed as CSV files (header = raw column names), once per lake."""
+    lake = lakehouse(spark, sf_dir)
+    if lake.root not in _LANDED:
+        path = f"{lake.root}/io/raw_csv"
+        _files.write_csv(lake.raw(), path)
+        _LANDED[lake.root] = path
+    return _LANDED[lake.root]
+
+
+@register("csv_fixed_schema_scan")
+def q_csv_fixed_schema_scan(spark, sf_dir):
+    """The landed files under the fixed schema that batch and stream share."""
+    return _files.read_csv(spark, _raw_csv(spark, sf_dir), _files.RESULTS_SCHEMA)
 
 
 @register("csv_batch_scan")
@@ -699,8 +764,9 @@ def q_table_full_refresh(spark, sf_dir):
 
 
 def _two_drops(df):
-    """Split a table into two deliveries that together hold every row once."""
-    return df.randomSplit([0.5, 0.5], seed=42)
+    """Split a table into two deliveries that together hold every row once (by a hash of the row)."""
+    half = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(2))
+    return [df.filter(half == 0), df.filter(half == 1)]
 
 
 @register("stream_csv_ingest")
@@ -708,8 +774,7 @@ def q_stream_csv_ingest(spark, sf_dir):
     events = _tpch(spark, sf_dir, "events")
     root = _scratch(spark, sf_dir, "events_stream")
     _land_csv(events, f"{root}/landing/drop1")
-    _stream.write_append(_csv_stream(spark, f"{root}/landing", events.schema), f"{root}/bronze", f"{root}/_ckpt")
-    return spark.read.parquet(f"{root}/bronze")
+    return _stream.ingest_stream(spark, f"{root}/landing", events.schema, f"{root}/bronze", f"{root}/_ckpt")
 
 
 @register("stream_incremental_append")
@@ -719,8 +784,7 @@ def q_stream_incremental_append(spark, sf_dir):
     root = _scratch(spark, sf_dir, "events_incremental")
     for i, drop in enumerate(_two_drops(events), start=1):
         _land_csv(drop, f"{root}/landing/drop{i}")
-        _stream.write_append(_csv_stream(spark, f"{root}/landing", events.schema),
-                             f"{root}/bronze", f"{root}/_ckpt")
+        _stream.ingest_stream(spark, f"{root}/landing", events.schema, f"{root}/bronze", f"{root}/_ckpt")
     return spark.read.parquet(f"{root}/bronze")
 
 
@@ -728,7 +792,7 @@ def _raw_landing(spark, sf_dir, name, drops):
     lake = lakehouse(spark, sf_dir)
     raw = lake.raw()
     root = _scratch(spark, sf_dir, name)
-    return raw.schema, root, [(lambda d=d, i=i: _land_csv(d, f"{root}/landing/drop{i}"))
+    return _files.RESULTS_SCHEMA, root, [(lambda d=d, i=i: _land_csv(d, f"{root}/landing/drop{i}"))
                               for i, d in enumerate(drops(raw), start=1)]
 
 
@@ -741,12 +805,11 @@ def q_stream_silver_obt(spark, sf_dir):
     schema, root, landings = _raw_landing(spark, sf_dir, "silver_stream", _two_drops)
     lookup_raw = lakehouse(spark, sf_dir).lookup()
     _land_csv(lookup_raw, f"{root}/landing_countries/drop1")
-    _stream.write_append(_csv_stream(spark, f"{root}/landing_countries", lookup_raw.schema),
-                         f"{root}/bronze_countries", f"{root}/_ckpt_countries")
-    lookup = spark.read.parquet(f"{root}/bronze_countries")
+    lookup = _stream.ingest_stream(spark, f"{root}/landing_countries", _files.COUNTRIES_SCHEMA,
+                                   f"{root}/bronze_countries", f"{root}/_ckpt_countries")
     for land in landings:
         land()
-        _stream.write_append(_csv_stream(spark, f"{root}/landing", schema), f"{root}/bronze", f"{root}/_ckpt_bronze")
+        _stream.ingest_stream(spark, f"{root}/landing", schema, f"{root}/bronze", f"{root}/_ckpt_bronze")
         bronze = _stream.read_table_stream(spark, f"{root}/bronze", schema)
         _stream.write_append(_stream.silver_stream(bronze, lookup), f"{root}/silver", f"{root}/_ckpt_silver")
     return spark.read.parquet(f"{root}/silver")
@@ -758,7 +821,7 @@ def q_stream_static_enrich(spark, sf_dir):
     lookup = lakehouse(spark, sf_dir).lookup()
     for land in landings:
         land()
-    stream = _silver.enrich_country(_silver.valid_rows(_csv_stream(spark, f"{root}/landing", schema)), lookup)
+    stream = _silver.enrich_country(_silver.valid_rows(_stream.read_csv_stream(spark, f"{root}/landing", schema)), lookup)
     _stream.write_append(stream.select("athlete_id", "athlete_country", "country_code_iso3", "country_name"),
                          f"{root}/out", f"{root}/_ckpt")
     return spark.read.parquet(f"{root}/out")
@@ -770,6 +833,6 @@ def q_stream_dedup(spark, sf_dir):
     schema, root, landings = _raw_landing(spark, sf_dir, "dedup_stream", lambda raw: [raw, raw])
     for land in landings:
         land()
-        stream = snake_case_columns(_csv_stream(spark, f"{root}/landing", schema))
+        stream = snake_case_columns(_stream.read_csv_stream(spark, f"{root}/landing", schema))
         _stream.write_append(_stream.dedup_stream(stream, stream.columns), f"{root}/out", f"{root}/_ckpt")
     return spark.read.parquet(f"{root}/out")

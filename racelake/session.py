@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings applied when the caller has not set them.  AQE re-plans joins from
@@ -45,18 +46,34 @@ DEFAULT_CONF = {
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "racelake") -> SparkSession:
-    """Return the active session, or build one (local runs and tests)."""
+    """The active session, or a new one; only settings that nobody has set are filled in.
+
+    Settings given to ``spark-submit``, in ``PYSPARK_SUBMIT_ARGS`` or in Spark's defaults file
+    are known once the JVM runs, so it is started before the defaults are chosen.  The driver's
+    memory has to be given before that and is left to ``spark-submit``; a plain Python process
+    takes it from ``RACELAKE_DRIVER_MEMORY``.
+    """
     active = SparkSession.getActiveSession()
     if active is not None:
+        for key, value in DEFAULT_CONF.items():
+            if active.conf.isModifiable(key) and active.conf.get(key, None) is None:
+                active.conf.set(key, value)
         return active
-    builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
-    for key, value in DEFAULT_CONF.items():
-        builder = builder.config(key, value)
+    memory = os.environ.get("RACELAKE_DRIVER_MEMORY")
+    first = SparkConf(loadDefaults=False)
+    if memory:
+        first.set("spark.driver.memory", memory)
+    SparkContext._ensure_initialized(conf=first)
+    given = SparkConf()
+    wanted = dict(DEFAULT_CONF)
     if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("RACELAKE_DRIVER_MEMORY", "16g"))
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master:
+        wanted["spark.master"] = master
+    builder = SparkSession.builder.appName(app_name)
+    for key, value in wanted.items():
+        if not given.contains(key):
+            builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -102,6 +119,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if existing:
         # The context appends a random sub-folder; keep tables beside it.
         return os.path.dirname(existing.rstrip("/"))
+    master = _conf(spark, "spark.master") or ""
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share: "
+                         f"a machine-local folder does not do on {master or 'this cluster'}")
     local = tempfile.mkdtemp(prefix="racelake-ckpt-")
     try:
         spark.sparkContext.setCheckpointDir(local)

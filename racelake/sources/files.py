@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 # CSV text is kept byte for byte: the race-results fields carry meaningful
 # leading/trailing spaces that the parsers trim themselves.
@@ -14,6 +14,37 @@ CSV_OPTIONS = {
 }
 
 
+# Exact timestamps through CSV text (the default keeps milliseconds only).
+TIMESTAMP_OPTIONS = {
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
+# The schema of the race results and of the country lookup, for batch and stream
+# alike.  Speed stays text: it holds clock times beside numbers, and a type that depended on the
+# files at hand would give one result two keys.
+RESULTS_SCHEMA = StructType([
+    StructField("Year of event", IntegerType()),
+    StructField("Event dates", StringType()),
+    StructField("Event name", StringType()),
+    StructField("Event distance/length", StringType()),
+    StructField("Event number of finishers", IntegerType()),
+    StructField("Athlete performance", StringType()),
+    StructField("Athlete club", StringType()),
+    StructField("Athlete country", StringType()),
+    StructField("Athlete year of birth", DoubleType()),
+    StructField("Athlete gender", StringType()),
+    StructField("Athlete age category", StringType()),
+    StructField("Athlete average speed", StringType()),
+    StructField("Athlete ID", IntegerType()),
+])
+COUNTRIES_SCHEMA = StructType([
+    StructField("athlete_country_code", StringType()),
+    StructField("country_code_iso3", StringType()),
+    StructField("country_name", StringType()),
+])
+
+
 def infer_csv_schema(spark: SparkSession, sample_path: str) -> StructType:
     """Schema of a sample file (header + type inference), to fix a stream's schema.
 

@@ -19,8 +19,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racelake.operators.joins import bounded_broadcast
-from racelake.operators.sort import spread_small_input
 
 # Raw CSV header of the race-results file, in file order.
 RAW_COLUMNS = [
@@ -74,8 +72,7 @@ def race_results_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     # part grows with the data and cannot be broadcast.
     order_side = (
         orders.join(cust, orders.o_custkey == cust.c_custkey)
-        # nation: 25 rows by definition of the schema; broadcast after the bounded probe.
-        .join(bounded_broadcast(nation), F.col("c_nationkey") == nation.n_nationkey)
+        .join(nation, F.col("c_nationkey") == nation.n_nationkey)
     )
     joined = (
         li.join(order_side, li.l_orderkey == order_side.o_orderkey)
@@ -188,9 +185,7 @@ def race_results_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         speed,
         c.cast("int"),
     ]
-    # The text building below is CPU-bound; on small inputs AQE shrinks the last
-    # join's output to a few partitions, so spread it first (no-op at scale).
-    return spread_small_input(joined).select(*[v.alias(name) for v, name in zip(values, RAW_COLUMNS)])
+    return joined.select(*[v.alias(name) for v, name in zip(values, RAW_COLUMNS)])
 
 
 def country_lookup_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

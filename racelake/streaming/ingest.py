@@ -15,16 +15,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from racelake.plans import silver as silver_plan
-from racelake.sources.files import CSV_OPTIONS
+from racelake.sources.files import CSV_OPTIONS, TIMESTAMP_OPTIONS
+
+
+#: Files that one micro-batch takes from a backlog: bounds the work (and the state update) of a batch.
+MAX_FILES_PER_TRIGGER = 1000
 
 
 def read_csv_stream(spark: SparkSession, path: str, schema: StructType,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming CSV scan of a landing folder with a fixed schema."""
-    reader = spark.readStream.format("csv").options(**CSV_OPTIONS).schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(path)
+                    max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """Streaming CSV scan of a landing folder (and its sub-folders) with a fixed schema."""
+    return (spark.readStream.format("csv").options(**CSV_OPTIONS).options(**TIMESTAMP_OPTIONS)
+            .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", str(max_files_per_trigger))
+            .schema(schema).load(path))
 
 
 def write_append(stream: DataFrame, sink: str, checkpoint: str) -> None:
@@ -37,46 +40,37 @@ def write_append(stream: DataFrame, sink: str, checkpoint: str) -> None:
         raise query.exception()
 
 
-def ingest_stream(spark: SparkSession, landing: str, schema: StructType, sink: str, checkpoint: str) -> DataFrame:
+def ingest_stream(spark: SparkSession, landing: str, schema: StructType, sink: str, checkpoint: str,
+                  max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
     """Bronze ingest: new CSV files in ``landing`` -> appended to ``sink``."""
-    write_append(read_csv_stream(spark, landing, schema), sink, checkpoint)
+    write_append(read_csv_stream(spark, landing, schema, max_files_per_trigger), sink, checkpoint)
     return spark.read.parquet(sink)
 
 
-def read_table_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_table_stream(spark: SparkSession, path: str, schema: StructType,
+                      max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
     """Stream read of a parquet table written by another stream (``FROM STREAM t``)."""
-    return spark.readStream.schema(schema).parquet(path)
+    return (spark.readStream.option("maxFilesPerTrigger", str(max_files_per_trigger))
+            .schema(schema).parquet(path))
 
 
-def dedup_stream(stream: DataFrame, cols, watermark: tuple[str, str] | None = None) -> DataFrame:
-    """Stateful dedup across micro-batches and runs.
+def dedup_stream(stream: DataFrame, cols) -> DataFrame:
+    """Stateful dedup across micro-batches and runs: every distinct row comes out once.
 
-    Without a watermark the state keeps every key ever seen (exact, grows with
-    the data; use the RocksDB state store provider at scale).  With
-    ``watermark=(event_time_col, delay)`` keys expire once the watermark passes
-    (``dropDuplicatesWithinWatermark``), bounding the state.
+    The state holds one 64-character SHA-256 per distinct row (over the JSON of the columns,
+    which tells NULL from text), not the columns.  It is exact and grows with the distinct
+    rows: use the RocksDB state store at scale.  Its partition count is
+    ``spark.sql.shuffle.partitions`` of the first run.  There is no watermark: files arrive in
+    no order of event time, so an expiry would drop rows that were never seen.
     """
-    if watermark is None:
-        return stream.dropDuplicates(list(cols))
-    column, delay = watermark
-    # Watermarks need TIMESTAMP; a TIMESTAMP_NTZ or DATE event time gets a session-zone copy.
-    if dict(stream.dtypes)[column] in ("timestamp_ntz", "date"):
-        return (stream.withColumn("_event_time", F.col(column).cast("timestamp"))
-                .withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(list(cols))
-                .drop("_event_time"))
-    return stream.withWatermark(column, delay).dropDuplicatesWithinWatermark(list(cols))
-
-
-def silver_stream(raw_stream: DataFrame, lookup: DataFrame,
-                  watermark: tuple[str, str] | None = None) -> DataFrame:
-    """The silver chain on a stream: the batch parsers and rules unchanged,
-    a stream-static join to the lookup, stateful dedup, then the keys.
+    key = F.sha2(F.to_json(F.struct(*cols)), 256)
+    return stream.withColumn("_row_key", key).dropDuplicates(["_row_key"]).drop("_row_key")
 
-    ``watermark`` (e.g. ``("event_start_date", "400 days")``) bounds the dedup
-    state: a result re-delivered later than that after its event is no longer
-    recognised as a copy.  Without it the dedup is exact and the state grows.
-    """
+
+def silver_stream(raw_stream: DataFrame, lookup: DataFrame) -> DataFrame:
+    """The silver chain on a stream: the batch parsers and rules unchanged,
+    a stream-static join to the lookup, exact stateful dedup, then the keys."""
     rows = silver_plan.enrich_country(silver_plan.valid_rows(raw_stream), lookup)
     base = [c for c in silver_plan.SILVER_COLUMNS if c not in ("event_id", "result_id")]
-    deduped = dedup_stream(rows.select(*base), silver_plan.DEDUP_COLUMNS, watermark)
+    deduped = dedup_stream(rows.select(*base), silver_plan.DEDUP_COLUMNS)
     return silver_plan.add_keys(deduped).select(*silver_plan.SILVER_COLUMNS)

@@ -28,10 +28,17 @@ def test_missing_keys_is_anti_join(spark):
     assert "LeftAnti" in out._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_bounded_broadcast(spark):
-    small = spark.range(10)
-    assert joins.fits_broadcast(small, 10)
-    assert not joins.fits_broadcast(small, 9)
+def test_missing_key_counts(spark):
+    fact = spark.createDataFrame([(1,), (2,), (2,), (None,), (3,)], "k int")
+    dim = spark.createDataFrame([(1,), (3,)], "k int")
+    out = joins.missing_key_counts(fact, dim, "k")
+    assert sorted(map(tuple, out.collect()), key=repr) == [(2, 2), (None, 1)]
+
+
+def test_predicate_share(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "x string")
+    assert tuple(aggregates.predicate_share(df, F.col("x") == "a", "hit").first()) == (3, 1, 33.33)
+    assert tuple(aggregates.predicate_share(df.limit(0), F.col("x") == "a", "hit").first()) == (0, 0, None)
 
 
 def test_profile_distinct_single_job(spark):
@@ -75,7 +82,7 @@ def test_approximate_profiles(spark):
     df = spark.range(0, 20000).select((F.col("id") % 5000).alias("k"), (F.col("id") % 100).cast("double").alias("v"))
     approx = {r["column_name"]: r["distinct_values"] for r in aggregates.profile_distinct(df, approx=True).collect()}
     assert abs(approx["k"] - 5000) <= 150 and abs(approx["v"] - 100) <= 3
-    exact = aggregates.numeric_summary(df, ["v"]).first()
+    exact = aggregates.numeric_summary(df, ["v"], exact=True).first()
     rough = aggregates.numeric_summary(df, ["v"], exact=False).first()
     assert exact["p50"] == 49.5 and abs(rough["p50"] - 49.5) <= 1
     assert exact["count"] == rough["count"] == 20000

@@ -6,15 +6,14 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from oracles import ORACLES
+from racelake.queries import REGISTRY as QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 # Spark type name -> DuckDB type name of the same values.
 TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
          "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
 
 
 def _norm(v):
