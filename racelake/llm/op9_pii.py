@@ -222,9 +222,9 @@ def sanitise(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     new = F.aggregate("all", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
                       lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
-    return (rows.join(marks, "key", "left")
-            .select(*(F.when(F.col("all").isNull(), F.col("row.text")).otherwise(new).alias("text") if c == "text"
-                      else F.col(f"row.{c}").alias(c) for c in docs.columns)))
+    made = F.when(F.col("all").isNull(), F.col("row.text")).otherwise(new)
+    return (rows.join(marks, "key", "left").select("row", F.struct(made.alias("text")).alias("made"))
+            .select(*(F.col("made.text" if c == "text" else f"row.{c}").alias(c) for c in docs.columns)))
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
