@@ -42,6 +42,7 @@ SUFFIX_CLASSES = 512
 CLASSES = TOP_WORDS + 1 + SUFFIX_CLASSES
 ITERATIONS = 4
 SEGMENT = 256
+BLOCK_BYTES = 2 << 20  # larger blocks repeat fewer words
 FOLDS, HELD_FOLD = 7, 2
 SCALE = 1 << 20  # expected counts travel as integers of this resolution
 
@@ -92,42 +93,49 @@ def _send(buckets: int):
     return make
 
 
-def _merge(keys: list[bytes], counts: list[bytes]) -> list[bytes]:
-    """Total count of every key, aligned to what each block sent."""
-    k = np.concatenate([np.frombuffer(x, np.uint64) for x in keys])
-    c = np.concatenate([np.frombuffer(x, "<u4").reshape(2, -1) for x in counts], axis=1)
-    u, place = _distinct_words(k)
-    total = np.bincount(place, weights=c[0], minlength=len(u)).astype(np.int64)
-    at = np.cumsum([0] + [len(x) // 8 for x in keys])
-    got = total[place]
-    return [got[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
+TOTALS = -1  # block number of a bucket's own table
 
 
-def _vocabulary(sent: DataFrame) -> DataFrame:
-    """(word hash, suffix class, training count) of every distinct word, for the corpus totals."""
+def _count(sent: DataFrame) -> DataFrame:
+    """Answers with the training count of every sent word; and per bucket a ``TOTALS`` row: its
+    most frequent words, and the words and distinct words per suffix class."""
 
     def run(t: pa.Table) -> pa.Table:
-        k = np.concatenate([np.frombuffer(x, np.uint64) for x in t.column("keys").to_pylist()])
-        c = np.concatenate([np.frombuffer(x, "<u4").reshape(2, -1) for x in t.column("counts").to_pylist()], axis=1)
+        t = t.sort_by("block")
+        keys, counts = t.column("keys").to_pylist(), t.column("counts").to_pylist()
+        k = np.concatenate([np.frombuffer(x, np.uint64) for x in keys])
+        c = np.concatenate([np.frombuffer(x, "<u4").reshape(2, -1) for x in counts], axis=1)
         u, place = _distinct_words(k)
         total = np.bincount(place, weights=c[0], minlength=len(u)).astype(np.int64)
+        got = total[place]
+        ends = np.cumsum([0] + [len(x) // 8 for x in keys])
         kind = np.zeros(len(u), np.int64)
         kind[place] = c[1]
         top = np.argsort(-total, kind="stable")[:TOP_WORDS]
-        used = total > 0
+        top = top[total[top] > 0]
         n = np.bincount(kind, weights=total, minlength=SUFFIX_CLASSES).astype(np.int64)
-        v = np.bincount(kind[used], minlength=SUFFIX_CLASSES)
+        v = np.bincount(kind[total > 0], minlength=SUFFIX_CLASSES)
         has = np.flatnonzero(v)
-        top = top[total[top] > 0]
-        word = np.concatenate([u[top].view(np.int64), np.zeros(len(has), np.int64)])
-        return pa.table({
-            "word": pa.array(word, mask=np.arange(len(word)) >= len(top)),
-            "kind": pa.array(np.concatenate([kind[top], has])),
-            "n": pa.array(np.concatenate([total[top], n[has]])),
-            "v": pa.array(np.concatenate([np.zeros(len(top), np.int64), v[has]])),
-        })
+        own = np.concatenate([np.stack([u[top].view(np.int64), kind[top], total[top], np.zeros(len(top), np.int64)]),
+                              np.stack([np.zeros(len(has), np.int64), has, n[has], v[has]])], axis=1)
+        return pa.table([pa.array([*t.column("block").to_pylist(), TOTALS], pa.int64()),
+                         pa.array([*t.column("bucket").to_pylist(), t.column("bucket")[0].as_py()], pa.int32()),
+                         pa.array([*(got[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])), own.tobytes()],
+                                  pa.binary())], names=["block", "bucket", "answer"])
+
+    return sent.groupBy("bucket").applyInArrow(run, B.ANSWER)
+
+
+def _vocabulary(answers: DataFrame) -> DataFrame:
+    """The buckets' tables as rows: a frequent word with its count, or a class (v > 0) with its totals."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in batch.column("answer").to_pylist():
+                own = np.frombuffer(x, np.int64).reshape(4, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(r) for r in own], names=["word", "kind", "n", "v"])
 
-    return sent.groupBy("bucket").applyInArrow(run, "word long, kind long, n long, v long")
+    return answers.filter(F.col("block") == TOTALS).mapInArrow(run, "word long, kind long, n long, v long")
 
 
 class Model:
@@ -321,14 +329,14 @@ def train_step(coded: DataFrame, params: tuple[np.ndarray, ...]) -> np.ndarray:
 
 def score(spark: SparkSession, docs: DataFrame, states: int = STATES, iterations: int = ITERATIONS) -> DataFrame:
     """Base score and hidden Markov score of every document."""
-    blocks = B.to_blocks(spark, docs)
-    sent = B.store(spark, B.send(blocks, _send(B.n_buckets(spark, blocks))), "word-counts")
+    blocks = B.to_blocks(spark, docs, BLOCK_BYTES)
+    answers = B.store(spark, _count(B.send(blocks, _send(B.n_buckets(spark, blocks)))), "word-counts")
     train_docs = (docs.select(F.crc32(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).cast("binary"))
                               .alias("c")).filter(F.pmod("c", F.lit(FOLDS)) != HELD_FOLD).count())
-    table = B.store(spark, _vocabulary(sent), "vocabulary")
-    top = (table.filter("word is not null").orderBy(F.desc("n"), "word").limit(TOP_WORDS).collect())  # fixed size
+    words = _vocabulary(answers)
+    top = words.filter("v = 0").orderBy(F.desc("n"), "word").limit(TOP_WORDS).collect()  # fixed size
     totals, kinds = np.zeros(SUFFIX_CLASSES), np.zeros(SUFFIX_CLASSES)
-    for r in (table.filter("word is null").groupBy("kind").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
+    for r in (words.filter("v > 0").groupBy("kind").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
               .collect()):  # one row per class
         totals[r["kind"]], kinds[r["kind"]] = r["n"], r["v"]
     tokens, size = int(totals.sum()) + train_docs, int(kinds.sum()) + (train_docs > 0)
@@ -336,7 +344,7 @@ def score(spark: SparkSession, docs: DataFrame, states: int = STATES, iterations
         totals[r["kind"]] -= r["n"]
         kinds[r["kind"]] -= 1
     model = Model(np.array([r["word"] for r in top], np.int64).view(np.uint64), totals, kinds, train_docs, tokens, size)
-    coded = B.store(spark, B.meet(blocks, B.answer(sent, _merge), _code(model), CODED), "classes")
+    coded = B.store(spark, B.meet(blocks, answers.filter(F.col("block") != TOTALS), _code(model), CODED), "classes")
 
     seen = np.zeros(CLASSES)
     seen[:len(top)] = [r["n"] for r in top]
