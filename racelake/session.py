@@ -44,14 +44,32 @@ DEFAULT_CONF = {
 }
 
 
+def _driver_memory_given() -> bool:
+    if "PYSPARK_GATEWAY_PORT" in os.environ:  # started by spark-submit
+        return True
+    told = os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+    conf_dir = os.environ.get("SPARK_CONF_DIR") or os.path.join(os.environ.get("SPARK_HOME", ""), "conf")
+    try:
+        with open(os.path.join(conf_dir, "spark-defaults.conf")) as fh:
+            told += fh.read()
+    except OSError:
+        pass
+    return "spark.driver.memory" in told or "--driver-memory" in told
+
+
+def _half_of_memory() -> str:
+    pages, size = os.sysconf("SC_PHYS_PAGES"), os.sysconf("SC_PAGE_SIZE")
+    return f"{max(1024, pages * size // 2 // (1 << 20))}m"
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "racelake") -> SparkSession:
     """The active session, or a new one; only settings that nobody has set are filled in.
 
     Settings given to ``spark-submit``, in ``PYSPARK_SUBMIT_ARGS`` or in Spark's defaults file
     are known once the JVM runs, so it is started before the defaults are chosen.  The driver's
-    memory has to be given before that and is left to ``spark-submit``; a plain Python process
-    takes it from ``RACELAKE_DRIVER_MEMORY``.
+    memory has to be given before that: under ``spark-submit``, or where it is set, it is left
+    alone; otherwise it is ``RACELAKE_DRIVER_MEMORY`` or half of this machine's memory.
     """
     active = SparkSession.getActiveSession()
     if active is not None:
@@ -59,18 +77,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
             if active.conf.isModifiable(key) and active.conf.get(key, None) is None:
                 active.conf.set(key, value)
         return active
-    memory = os.environ.get("RACELAKE_DRIVER_MEMORY")
     first = SparkConf(loadDefaults=False)
-    if memory:
-        first.set("spark.driver.memory", memory)
+    if not _driver_memory_given():
+        first.set("spark.driver.memory", os.environ.get("RACELAKE_DRIVER_MEMORY") or _half_of_memory())
     SparkContext._ensure_initialized(conf=first)
     given = SparkConf()
     wanted = dict(DEFAULT_CONF)
     if shuffle_partitions:
         wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if master:
-        wanted["spark.master"] = master
     builder = SparkSession.builder.appName(app_name)
+    # The launcher always fills in a master, so its being set says nothing.
+    if master and "PYSPARK_GATEWAY_PORT" not in os.environ and "--master" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
+        builder = builder.master(master)
     for key, value in wanted.items():
         if not given.contains(key):
             builder = builder.config(key, value)
