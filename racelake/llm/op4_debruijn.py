@@ -4,18 +4,18 @@ Every run of ``n`` (35) words is an edge of a De Bruijn graph between its first
 ``n - 1`` words; an edge that the corpus has twice or more is a repeated span.  Edges are
 never shuffled one by one:
 
-1. The minimizer of an edge is the k-gram of words in it with the smallest hash.  Consecutive
-   edges mostly share it; such a run is a *piece*.  Fingerprints of the minimizers go through
-   the block exchange, and pieces whose minimizer occurs once in the corpus are left out.
-2. The other pieces go to the bucket of their minimizer, equal pieces of a block once with
-   whether they occur again.  A bucket counts the edges of its pieces: equal edges have equal
-   minimizers, so all copies meet there.  The answer has a bit per edge.
-3. Each block turns the bits into spans in source coordinates: the repeated pieces, cut where
-   an edge is not repeated.  Their words are removed.
+1. The minimizer of an edge is the k-gram of words in it with the smallest hash; consecutive
+   edges mostly share it.  Fingerprints of the minimizers go through the block exchange, and
+   runs of edges whose minimizer occurs once in the corpus are left out.
+2. The edges of the other runs, each block's distinct ones with their number, go to the bucket
+   of their hash and are counted there; the answer has the count (up to ``MOST``) of each.
+3. Each block turns the counts into spans in source coordinates, whose words are removed, and
+   cuts them into pieces of edges that the corpus has equally often (inside a nonbranching
+   path the number cannot change), each with the piece before it.
 4. The graph is compacted through Spark joins: a repeated piece with a single successor, whose
    successor has it as single predecessor, is joined with it, and nonbranching chains become
-   one path (alternating star steps).  Each document reports the number of paths it holds
-   and the words of the longest one.
+   one path (alternating star steps).  Joined back by source coordinates, each document reports
+   the number of paths it holds and the words of the longest one.
 
 Cases: null and empty texts have no words; texts under ``n`` words stay whole; repeated rows
 are repeats of each other and all lose the words (every occurrence is removed); a null
@@ -31,15 +31,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from racelake.llm import _blocks as B
+from racelake.llm._components import components
 
 N = 35
 K = 10
-SCHEMA = "doc_id long, n_words long, n_removed long, n_spans long, kept_sha256 string"
+MOST = 255
+FOUND = ("block long, place long, doc_id long, n_words long, n_removed long, n_spans long, kept_sha256 string, "
+         "piece long, before long, edges long")
 
 
-class Pieces:
+class Runs:
     """Runs of edges with one minimizer: edge starts ``begin..end`` (inclusive), in words."""
 
     def __init__(self, block: B.Block, n: int = N, k: int = K):
@@ -52,7 +56,7 @@ class Pieces:
         m = len(self.edge)
         if not m:
             self.begin = self.end = np.empty(0, np.int64)
-            self.minimizer = self.content = np.empty(0, np.uint64)
+            self.minimizer = np.empty(0, np.uint64)
             return
         doc = np.repeat(np.arange(len(block.ids)), self.last - self.first)
         grams = B.rolling(pre, k)
@@ -64,26 +68,19 @@ class Pieces:
         end = np.append(begin[1:], m) - 1
         ok = valid[begin]
         self.begin, self.end = begin[ok], end[ok]
-        self.minimizer = grams[where[self.begin]]
-        self.content = B.span_hash(pre, self.begin, self.end + n)
-
-    def repeated(self, got: dict[int, bytes], buckets: int) -> np.ndarray:
-        """Which pieces have a minimizer that occurs twice or more."""
+        # minima are small numbers: spread them over the buckets
+        self.minimizer = B.mix(grams[where[self.begin]])
+    def kept(self, got: dict[int, bytes], buckets: int) -> np.ndarray:
+        """The edges whose minimizer occurs twice or more, by start."""
         keys = B.distinct(np.sort(self.minimizer))
-        return B.bits_of(keys, got, buckets)[np.searchsorted(keys, self.minimizer)]
-
-    def entries(self, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pieces ``keep`` by (minimizer, content), and which are the first of their content."""
-        at = np.flatnonzero(keep)
-        at = at[np.lexsort((at, self.content[at], self.minimizer[at]))]
-        first = np.ones(len(at), bool)
-        first[1:] = self.content[at][1:] != self.content[at][:-1]
-        return at, first
+        at = B.bits_of(keys, got, buckets)[np.searchsorted(keys, self.minimizer)]
+        begin, length = self.begin[at], (self.end - self.begin + 1)[at]
+        return np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
 
 
 def _send_minimizers(buckets: int, n: int, k: int):
     def make(block: B.Block) -> Iterator[tuple[int, bytes, bytes]]:
-        a = np.sort(Pieces(block, n, k).minimizer)
+        a = np.sort(Runs(block, n, k).minimizer)
         keys = B.distinct(a)
         many = np.diff(np.append(np.searchsorted(a, keys), len(a))) > 1
         edges = B.bucket_edges(keys, buckets)
@@ -96,17 +93,13 @@ def _send_minimizers(buckets: int, n: int, k: int):
 
 def _send_edges(blocks: DataFrame, answers: DataFrame, buckets: int, n: int, k: int) -> DataFrame:
     def make(block: B.Block, got: dict[int, bytes]) -> pa.Table:
-        s = Pieces(block, n, k)
-        at, first = s.entries(s.repeated(got, buckets))
-        times = np.diff(np.append(np.flatnonzero(first), len(at)))
-        at = at[first]
-        length = s.end[at] - s.begin[at] + 1
-        edges = B.bucket_edges(s.minimizer[at], buckets)
-        rows = []
-        for b in np.flatnonzero(np.diff(edges)):
-            x = slice(edges[b], edges[b + 1])
-            rows.append((int(b), block.block, B.gather_spans(s.edge, s.begin[at][x], length[x]).tobytes(),
-                         length[x].astype("u1").tobytes() + (times[x] > 1).astype("u1").tobytes()))
+        s = Runs(block, n, k)
+        a = np.sort(s.edge[s.kept(got, buckets)])
+        keys = B.distinct(a)
+        times = np.minimum(np.diff(np.append(np.searchsorted(a, keys), len(a))), MOST).astype("u1")
+        edges = B.bucket_edges(keys, buckets)
+        rows = [(int(b), block.block, keys[edges[b]:edges[b + 1]].tobytes(), times[edges[b]:edges[b + 1]].tobytes())
+                for b in np.flatnonzero(np.diff(edges))]
         cols = list(zip(*rows)) if rows else [()] * 4
         return pa.table([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary()),
                          pa.array(cols[3], pa.binary())], names=["bucket", "block", "keys", "counts"])
@@ -115,45 +108,28 @@ def _send_edges(blocks: DataFrame, answers: DataFrame, buckets: int, n: int, k:
 
 
 def _count_edges(keys: list[bytes], counts: list[bytes]) -> list[bytes]:
-    """Per sent piece a mask of its edges that occur twice or more in the corpus."""
-    edge = np.concatenate([np.frombuffer(k, np.uint64) for k in keys])
-    length = np.concatenate([np.frombuffer(c[:len(c) // 2], "u1") for c in counts]).astype(np.int64)
-    again = np.concatenate([np.frombuffer(c[len(c) // 2:], "u1") for c in counts]) > 0
-    owner = np.repeat(np.arange(len(length)), length)
-    hit = again[owner]
-    at, _ = B.groups(edge)
-    hit[at] = True
-    bit = np.arange(len(owner)) - np.repeat(np.cumsum(length) - length, length)
-    mask = np.zeros(len(length), np.uint32)
-    np.bitwise_or.at(mask, owner[hit], np.uint32(1) << bit[hit].astype(np.uint32))
-    ends = np.cumsum([0] + [len(c) // 2 for c in counts])
-    # an edge is again repeated where a piece that occurs again has it: spread over equal edges
-    if again.any():
-        spread = np.isin(edge, B.distinct(np.sort(edge[again[owner]])))
-        np.bitwise_or.at(mask, owner[spread], np.uint32(1) << bit[spread].astype(np.uint32))
-    return [mask[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
-
-
-def _spans(s: Pieces, got: dict[int, bytes], buckets: int) -> np.ndarray:
-    """Whether each word of the block lies in a repeated edge."""
-    at, first = s.entries(s.repeated(got, buckets))
-    edges = B.bucket_edges(s.minimizer[at[first]], buckets)
-    mask = np.concatenate([np.frombuffer(got[buckets + int(b)], np.uint32)
-                           for b in np.flatnonzero(np.diff(edges))] or [np.empty(0, np.uint32)])
-    mine = mask[np.cumsum(first) - 1]
-    length = s.end[at] - s.begin[at] + 1
-    own = np.repeat(np.arange(len(at)), length)
-    bit = np.arange(len(own)) - np.repeat(np.cumsum(length) - length, length)
-    hit = (mine[own] >> bit.astype(np.uint32)) & np.uint32(1) > 0
-    flags = np.zeros(len(s.ws), bool)
-    flags[(s.begin[at][own] + bit)[hit]] = True
-    return B.slide_max(flags, s.n)
+    """Per sent edge how often the corpus has it, ``MOST`` for more."""
+    times = np.concatenate([np.frombuffer(c, "u1") for c in counts]).astype(np.int64)
+    at, opens = B.groups(np.concatenate([np.frombuffer(k, np.uint64) for k in keys]))
+    if len(at):
+        heads = np.flatnonzero(opens)
+        times[at] = np.repeat(np.add.reduceat(times[at], heads), np.diff(np.append(heads, len(at))))
+    times = np.minimum(times, MOST).astype("u1")
+    ends = np.cumsum([0] + [len(c) for c in counts])
+    return [times[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
 
 
 def _remove(buckets: int, n: int, k: int):
     def make(block: B.Block, got: dict[int, bytes]) -> pa.Table:
-        s = Pieces(block, n, k)
-        gone = _spans(s, got, buckets)
+        s = Runs(block, n, k)
+        at = s.kept(got, buckets)
+        keys = B.distinct(np.sort(s.edge[at]))
+        times = np.concatenate([np.frombuffer(got[b], "u1") for b in sorted(got) if b >= buckets]
+                               or [np.empty(0, "u1")])
+        level = np.zeros(len(s.ws), "u1")
+        level[at] = times[np.searchsorted(keys, s.edge[at])]
+        repeated = level > 1
+        gone = B.slide_max(repeated, n)
         count = np.concatenate([[0], np.cumsum(gone, dtype=np.int64)])
         start = gone.copy()
         start[1:] &= ~gone[:-1]
@@ -168,23 +144,61 @@ def _remove(buckets: int, n: int, k: int):
         low, high = np.searchsorted(kept, s.first), np.searchsorted(kept, s.last)
         digest = [hashlib.sha256(text[ends[a]:max(ends[b] - 1, ends[a])].tobytes()).hexdigest()
                   for a, b in zip(low, high)]
-        return pa.table([block.out_ids(), pa.array(s.last - s.first), pa.array(count[s.last] - count[s.first]),
-                         pa.array(opens[s.last] - opens[s.first]), pa.array(digest, pa.string())],
-                        names=[c.split(" ")[0] for c in SCHEMA.split(", ")])
+        # repeated pieces: runs of edges that are repeated equally often
+        after = np.concatenate([[False], repeated[:-1]])
+        cut = np.ones(len(repeated), bool)
+        cut[1:] = level[1:] != level[:-1]
+        head = np.flatnonzero(repeated & cut)
+        stop = np.flatnonzero(~repeated)
+        end = np.minimum(np.append(head[1:], len(repeated))[:len(head)],
+                         np.append(stop, len(repeated))[np.searchsorted(stop, head)])
+        piece = B.mix(s.edge[head] + B.mix(s.edge[end - 1]) * np.uint64(3) + (end - head).astype(np.uint64)).view(np.int64)
+        before = np.roll(piece, 1)
+        place = np.searchsorted(s.last, head, side="right")
+        docs, pieces = len(block.ids), len(head)
+        none = lambda size, kind: pa.nulls(size, kind)
+        digests = pa.table([pa.array(np.full(docs, block.block)), pa.array(np.arange(docs)), block.out_ids(),
+                            pa.array(s.last - s.first), pa.array(count[s.last] - count[s.first]),
+                            pa.array(opens[s.last] - opens[s.first]), pa.array(digest, pa.string()),
+                            *[none(docs, pa.int64())] * 3], names=[c.split(" ")[0] for c in FOUND.split(", ")])
+        parts = pa.table([pa.array(np.full(pieces, block.block)), pa.array(place),
+                          *[none(pieces, pa.int64())] * 4, none(pieces, pa.string()), pa.array(piece),
+                          pa.array(before, mask=~after[head]), pa.array(end - head)], names=digests.column_names)
+        return pa.concat_tables([digests, parts])
 
     return make
 
 
+def paths(spark: SparkSession, pieces: DataFrame, n: int) -> DataFrame:
+    """Compacted paths per document: (block, place, n_paths, longest_path)."""
+    links = pieces.filter("before is not null").groupBy("before", "piece").agg(F.count(F.lit(1)).alias("times"))
+    links = B.store(spark, links, "piece-links")
+    single = lambda c: links.groupBy(c).agg(F.count(F.lit(1)).alias("ways")).filter("ways = 1").select(c)
+    chain = links.join(single("before"), "before", "left_semi").join(single("piece"), "piece", "left_semi")
+    label = components(spark, chain.select(F.col("before").alias("a"), F.col("piece").alias("b")))
+    named = (pieces.join(label, pieces["piece"] == label["node"], "left")
+             .select("block", "place", "piece", "edges", F.coalesce("label", "piece").alias("path")))
+    named = B.store(spark, named, "piece-paths")
+    length = (named.groupBy("path", "piece").agg(F.first("edges").alias("edges"))
+              .groupBy("path").agg((F.sum("edges") + n - 1).alias("words")))
+    return (named.select("block", "place", "path").distinct().join(length, "path").groupBy("block", "place")
+            .agg(F.count(F.lit(1)).alias("n_paths"), F.max("words").alias("longest_path")))
+
+
 def remove_repeated_spans(spark: SparkSession, docs: DataFrame, n: int = N, k: int = K) -> DataFrame:
-    """Digest of every text without the words of its repeated spans."""
-    if not 0 <= n - k < 32:
-        raise ValueError("the k-gram must be at most 31 words shorter than the edge")
+    """Digest of every text without the words of its repeated spans, and its compacted paths."""
     blocks = B.to_blocks(spark, docs)
     buckets = B.n_buckets(spark, blocks)
     shared = B.store(spark, B.answer(B.send(blocks, _send_minimizers(buckets, n, k)), B.merge_shared), "minimizers")
     counted = B.answer(_send_edges(blocks, shared, buckets, n, k), _count_edges)
     counted = B.store(spark, counted.withColumn("bucket", counted.bucket + buckets), "edges")
-    return B.meet(blocks, shared.union(counted), _remove(buckets, n, k), SCHEMA)
+    found = B.store(spark, B.meet(blocks, shared.union(counted), _remove(buckets, n, k), FOUND), "spans")
+    B.drop(spark, blocks)
+    held = paths(spark, found.filter("piece is not null").select("block", "place", "piece", "before", "edges"), n)
+    return (found.filter("piece is null").join(held, ["block", "place"], "left")
+            .select("doc_id", "n_words", "n_removed", "n_spans", "kept_sha256",
+                    F.coalesce("n_paths", F.lit(0)).cast("long").alias("n_paths"),
+                    F.coalesce("longest_path", F.lit(0)).cast("long").alias("longest_path")))
 
 
 def op4_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
