@@ -37,3 +37,16 @@ def test_repeats_inside_one_document(spark):
 
 def test_empty_table(spark, no_docs):
     assert op.remove_repeated_spans(spark, no_docs).collect() == []
+
+
+def test_nonbranching_paths_are_compacted(spark):
+    """One passage, whole in two documents and in part in a third, is one path; a fork ends paths."""
+    word = lambda tag, n: [f"{tag}{i}" for i in range(n)]
+    passage = word("p", 60)
+    rows = [(1, word("a", 20) + passage + word("b", 9)), (2, passage + word("c", 30)), (3, word("d", 5) + passage[10:50]),
+            (4, word("e", 80)), (5, word("f", 40) + word("g", 40)), (6, word("f", 40) + word("g", 40)),
+            (7, word("f", 40) + word("h", 40)), (8, word("f", 40) + word("h", 40))]
+    got = {r.doc_id: (r.n_paths, r.longest_path) for r in
+           op.remove_repeated_spans(spark, frame(spark, [(i, " ".join(w)) for i, w in rows])).collect()}
+    assert got[1] == got[2] == got[3] == (1, 60) and got[4] == (0, 0)
+    assert got[5] == got[6] == got[7] == got[8] == (2, 74)  # the common 40 words, and 34 of them with what follows
