@@ -127,13 +127,23 @@ def _count(sent: DataFrame) -> DataFrame:
 
 
 def _vocabulary(answers: DataFrame) -> DataFrame:
-    """The buckets' tables as rows: a frequent word with its count, or a class (v > 0) with its totals."""
+    """The buckets' tables as rows, merged within each task: a frequent word with its count, or a
+    class (v > 0) with its totals."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top = np.empty((4, 0), np.int64)
+        n, v = np.zeros(SUFFIX_CLASSES, np.int64), np.zeros(SUFFIX_CLASSES, np.int64)
         for batch in batches:
             for x in batch.column("answer").to_pylist():
                 own = np.frombuffer(x, np.int64).reshape(4, -1)
-                yield pa.RecordBatch.from_arrays([pa.array(r) for r in own], names=["word", "kind", "n", "v"])
+                classes = own[:, own[3] > 0]
+                n[classes[1]] += classes[2]
+                v[classes[1]] += classes[3]
+                top = np.concatenate([top, own[:, own[3] == 0]], axis=1)
+                top = top[:, np.lexsort((top[0], -top[2]))[:TOP_WORDS]]
+        has = np.flatnonzero(v)
+        rows = np.concatenate([top, np.stack([np.zeros(len(has), np.int64), has, n[has], v[has]])], axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=["word", "kind", "n", "v"])
 
     return answers.filter(F.col("block") == TOTALS).mapInArrow(run, "word long, kind long, n long, v long")
 
