@@ -16,7 +16,7 @@ The match positions come from ``split`` (the text between matches) and ``regexp_
 (the matches).  Patterns are written with possessive quantifiers and anchored at the start of
 a run, which finds the same matches in linear time without recursion.  Only the entities with
 their short contexts are kept; documents are not shuffled.  Document frequencies are counted
-for the candidate terms only.
+per word before they meet the candidate terms.
 
 Cases: null and empty texts have no spans (checksum of the empty string); a text of any length
 is read whole; repeated rows count as documents each; a null ``doc_id`` stays null; an empty
@@ -167,10 +167,10 @@ def disclosing(spark: SparkSession, docs: DataFrame, found: DataFrame, near: Dat
     both = B.store(spark, both, "pairs")
     of_entity = (found.select("key", F.explode(F.array_distinct(F.transform("base", lambda b: b["value"]))).alias("entity"))
                  .groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")))
-    wanted = B.store(spark, both.select("term").distinct(), "terms")
-    words = (docs.select(F.explode(F.array_distinct(F.transform(
-        F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), SPACES), _term))).alias("term")))
-    of_term = (words.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term")))
+    # counted per word before the join: a frequent word sends one row per task
+    of_term = (docs.select(F.explode(F.array_distinct(F.transform(
+        F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), SPACES), _term))).alias("term"))
+        .groupBy("term").agg(F.count(F.lit(1)).alias("n_term")))
     p = lambda c: F.col(c) / F.lit(float(max(total, 1)))
     gain = F.log(p("both") / (p("n_term") * p("n_entity"))) / -F.log(p("n_entity"))
     return (both.join(of_term, "term").join(of_entity, "entity").filter(F.col("n_entity") < total)
