@@ -8,14 +8,16 @@ never shuffled one by one:
    edges mostly share it.  Fingerprints of the minimizers go through the block exchange, and
    runs of edges whose minimizer occurs once in the corpus are left out.
 2. The edges of the other runs, each block's distinct ones with their number, go to the bucket
-   of their hash and are counted there; the answer has the count (up to ``MOST``) of each.
-3. Each block turns the counts into spans in source coordinates, whose words are removed, and
-   cuts them into pieces of edges that the corpus has equally often (inside a nonbranching
-   path the number cannot change), each with the piece before it.
-4. The graph is compacted through Spark joins: a repeated piece with a single successor, whose
-   successor has it as single predecessor, is joined with it, and nonbranching chains become
-   one path (alternating star steps).  Joined back by source coordinates, each document reports
-   the number of paths it holds and the words of the longest one.
+   of their hash and are counted there; the answer has the count of each (up to ``MOST``, as
+   only "twice or more" matters).
+3. Each block turns the counts into spans in source coordinates, whose words are removed.  The
+   ``n - 1`` words between two repeated edges are a node; each block's distinct nodes, with the
+   edges by which their occurrences come and go, meet in the bucket of the node's hash.  Spans
+   are cut into pieces at every node that not all of its occurrences pass by the same two edges.
+4. The graph is compacted through Spark joins: a node where exactly one distinct piece ends and
+   one begins joins the two, and nonbranching chains become one path (alternating star steps).
+   Joined back by source coordinates, each document reports the number of paths it holds and
+   the words of the longest one.
 
 Cases: null and empty texts have no words; texts under ``n`` words stay whole; repeated rows
 are repeats of each other and all lose the words (every occurrence is removed); a null
@@ -40,7 +42,7 @@ N = 35
 K = 10
 MOST = 255
 FOUND = ("block long, place long, doc_id long, n_words long, n_removed long, n_spans long, kept_sha256 string, "
-         "piece long, before long, edges long")
+         "piece long, left long, right long, edges long")
 
 
 class Runs:
@@ -53,6 +55,7 @@ class Runs:
         self.last = np.searchsorted(self.ws, block.ends)
         pre = B.prefix(B.span_hash(B.bytes_prefix(block.data), self.ws, self.we))
         self.edge = B.rolling(pre, n)
+        self.node = B.rolling(pre, n - 1)
         m = len(self.edge)
         if not m:
             self.begin = self.end = np.empty(0, np.int64)
@@ -77,6 +80,27 @@ class Runs:
         begin, length = self.begin[at], (self.end - self.begin + 1)[at]
         return np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
 
+    def repeated(self, got: dict[int, bytes], buckets: int) -> np.ndarray:
+        """Whether the corpus has the edge that starts at a word twice or more."""
+        at = self.kept(got, buckets)
+        keys = B.distinct(np.sort(self.edge[at]))
+        times = np.concatenate([np.frombuffer(got[b], "u1") for b in sorted(got) if buckets <= b < 2 * buckets]
+                               or [np.empty(0, "u1")])
+        out = np.zeros(len(self.ws), bool)
+        out[at] = times[np.searchsorted(keys, self.edge[at])] > 1
+        return out
+
+    def ends(self, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where nodes of repeated edges start, and the edges before and after each (0: not both repeated)."""
+        came = np.concatenate([[False], repeated])
+        goes = np.append(repeated, False)
+        at = np.flatnonzero(came | goes)
+        through = came[at] & goes[at]
+        way = np.zeros(len(at), np.uint64)
+        p = at[through]
+        way[through] = B.mix(self.edge[p - 1] + B.mix(self.edge[p]) * np.uint64(3))
+        return at, way
+
 
 def _send_minimizers(buckets: int, n: int, k: int):
     def make(block: B.Block) -> Iterator[tuple[int, bytes, bytes]]:
@@ -119,16 +143,43 @@ def _count_edges(keys: list[bytes], counts: list[bytes]) -> list[bytes]:
     return [times[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
 
 
+def _one_way(nodes: np.ndarray, way: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct nodes in order, and the way of those that all occurrences pass alike, else 0."""
+    order = np.argsort(nodes, kind="stable")
+    nodes, way = nodes[order], way[order]
+    if not len(nodes):
+        return nodes, way
+    heads = np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1]))
+    low, high = np.minimum.reduceat(way, heads), np.maximum.reduceat(way, heads)
+    return nodes[heads], np.where(low == high, low, np.uint64(0))
+
+
+def _send_nodes(blocks: DataFrame, answers: DataFrame, buckets: int, n: int, k: int) -> DataFrame:
+    def make(block: B.Block, got: dict[int, bytes]) -> pa.Table:
+        s = Runs(block, n, k)
+        at, way = s.ends(s.repeated(got, buckets))
+        keys, way = _one_way(s.node[at], way)
+        edges = B.bucket_edges(keys, buckets)
+        rows = [(int(b), block.block, keys[edges[b]:edges[b + 1]].tobytes(), way[edges[b]:edges[b + 1]].tobytes())
+                for b in np.flatnonzero(np.diff(edges))]
+        cols = list(zip(*rows)) if rows else [()] * 4
+        return pa.table([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary()),
+                         pa.array(cols[3], pa.binary())], names=["bucket", "block", "keys", "counts"])
+
+    return B.meet(blocks, answers, make, B.SENT)
+
+
+def _passed(keys: list[bytes], ways: list[bytes]) -> list[bytes]:
+    """Per sent node a bit: whether all of its occurrences pass it by the same two edges."""
+    own = [np.frombuffer(k, np.uint64) for k in keys]
+    nodes, way = _one_way(np.concatenate(own), np.concatenate([np.frombuffer(w, np.uint64) for w in ways]))
+    return [np.packbits(way[np.searchsorted(nodes, k)] != 0).tobytes() for k in own]
+
+
 def _remove(buckets: int, n: int, k: int):
     def make(block: B.Block, got: dict[int, bytes]) -> pa.Table:
         s = Runs(block, n, k)
-        at = s.kept(got, buckets)
-        keys = B.distinct(np.sort(s.edge[at]))
-        times = np.concatenate([np.frombuffer(got[b], "u1") for b in sorted(got) if b >= buckets]
-                               or [np.empty(0, "u1")])
-        level = np.zeros(len(s.ws), "u1")
-        level[at] = times[np.searchsorted(keys, s.edge[at])]
-        repeated = level > 1
+        repeated = s.repeated(got, buckets)
         gone = B.slide_max(repeated, n)
         count = np.concatenate([[0], np.cumsum(gone, dtype=np.int64)])
         start = gone.copy()
@@ -144,26 +195,27 @@ def _remove(buckets: int, n: int, k: int):
         low, high = np.searchsorted(kept, s.first), np.searchsorted(kept, s.last)
         digest = [hashlib.sha256(text[ends[a]:max(ends[b] - 1, ends[a])].tobytes()).hexdigest()
                   for a, b in zip(low, high)]
-        # repeated pieces: runs of edges that are repeated equally often
-        after = np.concatenate([[False], repeated[:-1]])
-        cut = np.ones(len(repeated), bool)
-        cut[1:] = level[1:] != level[:-1]
-        head = np.flatnonzero(repeated & cut)
-        stop = np.flatnonzero(~repeated)
-        end = np.minimum(np.append(head[1:], len(repeated))[:len(head)],
-                         np.append(stop, len(repeated))[np.searchsorted(stop, head)])
+        # repeated pieces: runs of repeated edges between nodes where the ways part, begin or end
+        at, _ = s.ends(repeated)
+        keys = B.distinct(np.sort(s.node[at]))
+        passed = B.bits_of(keys, {b - 2 * buckets: a for b, a in got.items() if b >= 2 * buckets}, buckets)
+        cut = np.zeros(len(repeated) + 1, bool)
+        cut[at] = ~passed[np.searchsorted(keys, s.node[at])]
+        head = np.flatnonzero(repeated & cut[:-1])
+        ends = np.flatnonzero(cut)
+        end = ends[np.searchsorted(ends, head, side="right")]
         piece = B.mix(s.edge[head] + B.mix(s.edge[end - 1]) * np.uint64(3) + (end - head).astype(np.uint64)).view(np.int64)
-        before = np.roll(piece, 1)
         place = np.searchsorted(s.last, head, side="right")
         docs, pieces = len(block.ids), len(head)
         none = lambda size, kind: pa.nulls(size, kind)
         digests = pa.table([pa.array(np.full(docs, block.block)), pa.array(np.arange(docs)), block.out_ids(),
                             pa.array(s.last - s.first), pa.array(count[s.last] - count[s.first]),
                             pa.array(opens[s.last] - opens[s.first]), pa.array(digest, pa.string()),
-                            *[none(docs, pa.int64())] * 3], names=[c.split(" ")[0] for c in FOUND.split(", ")])
+                            *[none(docs, pa.int64())] * 4], names=[c.split(" ")[0] for c in FOUND.split(", ")])
         parts = pa.table([pa.array(np.full(pieces, block.block)), pa.array(place),
                           *[none(pieces, pa.int64())] * 4, none(pieces, pa.string()), pa.array(piece),
-                          pa.array(before, mask=~after[head]), pa.array(end - head)], names=digests.column_names)
+                          pa.array(s.node[head].view(np.int64)), pa.array(s.node[end].view(np.int64)),
+                          pa.array(end - head)], names=digests.column_names)
         return pa.concat_tables([digests, parts])
 
     return make
@@ -171,10 +223,11 @@ def _remove(buckets: int, n: int, k: int):
 
 def paths(spark: SparkSession, pieces: DataFrame, n: int) -> DataFrame:
     """Compacted paths per document: (block, place, n_paths, longest_path)."""
-    links = pieces.filter("before is not null").groupBy("before", "piece").agg(F.count(F.lit(1)).alias("times"))
-    links = B.store(spark, links, "piece-links")
-    single = lambda c: links.groupBy(c).agg(F.count(F.lit(1)).alias("ways")).filter("ways = 1").select(c)
-    chain = links.join(single("before"), "before", "left_semi").join(single("piece"), "piece", "left_semi")
+    ends = B.store(spark, pieces.select("piece", "left", "right").distinct(), "piece-ends")
+    # nodes by their real degree: the distinct pieces that end there and begin there
+    single = lambda c, name: (ends.groupBy(c).agg(F.count(F.lit(1)).alias("ways"), F.min("piece").alias(name))
+                              .filter("ways = 1").select(F.col(c).alias("node"), name))
+    chain = single("right", "before").join(single("left", "piece"), "node")
     label = components(spark, chain.select(F.col("before").alias("a"), F.col("piece").alias("b")))
     named = (pieces.join(label, pieces["piece"] == label["node"], "left")
              .select("block", "place", "piece", "edges", F.coalesce("label", "piece").alias("path")))
@@ -192,9 +245,11 @@ def remove_repeated_spans(spark: SparkSession, docs: DataFrame, n: int = N, k: i
     shared = B.store(spark, B.answer(B.send(blocks, _send_minimizers(buckets, n, k)), B.merge_shared), "minimizers")
     counted = B.answer(_send_edges(blocks, shared, buckets, n, k), _count_edges)
     counted = B.store(spark, counted.withColumn("bucket", counted.bucket + buckets), "edges")
-    found = B.store(spark, B.meet(blocks, shared.union(counted), _remove(buckets, n, k), FOUND), "spans")
+    passed = B.answer(_send_nodes(blocks, shared.union(counted), buckets, n, k), _passed)
+    passed = B.store(spark, passed.withColumn("bucket", passed.bucket + 2 * buckets), "nodes")
+    found = B.store(spark, B.meet(blocks, shared.union(counted).union(passed), _remove(buckets, n, k), FOUND), "spans")
     B.drop(spark, blocks)
-    held = paths(spark, found.filter("piece is not null").select("block", "place", "piece", "before", "edges"), n)
+    held = paths(spark, found.filter("piece is not null").select("block", "place", "piece", "left", "right", "edges"), n)
     return (found.filter("piece is null").join(held, ["block", "place"], "left")
             .select("doc_id", "n_words", "n_removed", "n_spans", "kept_sha256",
                     F.coalesce("n_paths", F.lit(0)).cast("long").alias("n_paths"),

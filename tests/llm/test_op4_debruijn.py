@@ -50,3 +50,20 @@ def test_nonbranching_paths_are_compacted(spark):
            op.remove_repeated_spans(spark, frame(spark, [(i, " ".join(w)) for i, w in rows])).collect()}
     assert got[1] == got[2] == got[3] == (1, 60) and got[4] == (0, 0)
     assert got[5] == got[6] == got[7] == got[8] == (2, 74)  # the common 40 words, and 34 of them with what follows
+
+
+def longest_paths(spark, docs):
+    rows = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    return [(r.n_paths, r.longest_path) for r in
+            sorted(op.remove_repeated_spans(spark, frame(spark, rows)).collect(), key=lambda r: r.doc_id)]
+
+
+def test_forks_are_cut_whatever_the_counts(spark):
+    """A fork in a large group, and a node with two ways in and out that are equally frequent."""
+    word = lambda tag, n: [f"{tag}{i}" for i in range(n)]
+    f, g, h, x = word("f", 40), word("g", 40), word("h", 40), word("x", 34)
+    assert set(longest_paths(spark, [f + g, f + h] * 300)) == {(2, 74)}
+    # a X b, a X c and d X b, twice each: a X and d X enter the node X, b and c leave it
+    a, b, c, d = word("a", 40), word("b", 40), word("c", 40), word("d", 40)
+    assert set(longest_paths(spark, [a + x + b, a + x + c, d + x + b] * 2)) == {(2, 74)}
+    assert set(longest_paths(spark, [a + x + b, d + x + c] * 2)) == {(2, 74)}
