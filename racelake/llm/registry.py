@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from racelake.llm import op11_negatives as _op11
+from racelake.llm import op12_fim as _op12
+from racelake.llm import op13_topk as _op13
 from racelake.llm.op1_suffix import op1_suffix
 from racelake.llm.op2_repetition import op2_repetition
 from racelake.llm.op3_decontaminate import op3_decontaminate
@@ -24,5 +27,12 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_pii": op9_pii,
     "op10_hmm": op10_hmm,
+    "op11_negatives": _op11.op11_negatives,
+    "op12_fim": _op12.op12_fim,
+    "op13_topk": _op13.op13_topk,
+}
+ORACLES: dict[str, str] = {
+    "op11_negatives": _op11.ORACLE,
+    "op12_fim": _op12.ORACLE,
+    "op13_topk": _op13.ORACLE,
 }
-ORACLES: dict[str, str] = {}
