@@ -97,3 +97,8 @@ def dates_in_order(start: Column | str, end: Column | str) -> Column:
 def date_key(c: Column | str) -> Column:
     """``yyyyMMdd`` integer surrogate key of a date."""
     return F.date_format(as_col(c), "yyyyMMdd").cast("int")
+
+
+def month_name(month: Column) -> Column:
+    """English name of a month number."""
+    return F.date_format(F.make_date(F.lit(2000), month, F.lit(1)), "MMMM")

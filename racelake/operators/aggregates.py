@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from racelake.functions.columns import as_col
+from racelake.operators.sketches import exact_distinct
 
 
 def _q(name: str) -> str:
@@ -36,24 +37,15 @@ def _unpivot(wide: DataFrame, names, name_col: str, value_col: str) -> DataFrame
 
 
 def profile_distinct(df: DataFrame, approx: bool = False) -> DataFrame:
-    """(column_name, distinct_values) for every column, from one pass.
+    """(column_name, distinct_values) for every column; NULLs do not count.
 
-    Exact counts turn a row into narrow (column, value) pairs, which are made
-    distinct within each task before the shuffle; NULLs do not count, a column
-    without values reports 0.  ``approx=True`` uses HyperLogLog++ sketches instead
-    (fixed memory, one pass, about 1% error) for very wide or very large inputs.
+    Exact counts aggregate each column apart (``sketches.exact_distinct``).  ``approx=True`` takes
+    HyperLogLog++ sketches of all columns in one pass instead (fixed memory, about 1% error);
+    sketches that are stored and merged are in ``sketches.ProfileStore``.
     """
-    if approx:
-        wide = df.agg(*[F.approx_count_distinct(F.col(_q(c)), 0.01).alias(c) for c in df.columns])
-    else:
-        pairs = df.select(F.explode(F.array(*(
-            F.struct(F.lit(c).alias("column_name"), F.col(_q(c)).cast("string").alias("value"))
-            for c in df.columns))).alias("p")).select("p.*")
-        return (pairs.distinct().groupBy("column_name")
-                .agg(F.count("value").alias("distinct_values")).unionByName(
-                    df.sparkSession.createDataFrame([(c, 0) for c in df.columns],
-                                                    "column_name string, distinct_values long"))
-                .groupBy("column_name").agg(F.max("distinct_values").alias("distinct_values")))
+    if not approx:
+        return exact_distinct(df, df.columns)
+    wide = df.agg(*[F.approx_count_distinct(F.col(_q(c)), 0.01).alias(c) for c in df.columns])
     return _unpivot(wide, df.columns, "column_name", "distinct_values")
 
 
@@ -97,6 +89,11 @@ def range_stats(df: DataFrame, column: str) -> DataFrame:
                   (F.count(F.lit(1)) - F.count(c)).alias(f"null_{column}_rows"))
 
 
+def scaled(c: Column | str, decimals: int = 3) -> Column:
+    """A value with ``decimals`` decimals as a whole number: sums of it are exact in any order."""
+    return F.round(as_col(c) * 10 ** decimals).cast("long")
+
+
 def fixed_point_avg(c: Column | str, decimals: int = 3) -> Column:
     """Average of a column holding values with ``decimals`` decimals, exact.
 
@@ -106,7 +103,7 @@ def fixed_point_avg(c: Column | str, decimals: int = 3) -> Column:
     """
     unit = 10 ** decimals
     c = as_col(c)
-    scaled_sum = F.sum(F.round(c * unit).cast("long"))
+    scaled_sum = F.sum(scaled(c, decimals))
     return F.round(scaled_sum.cast("double") / F.count(c).cast("double") / unit, decimals)
 
 
@@ -118,14 +115,18 @@ def ratio(a: Column | str, b: Column | str, decimals: int = 2) -> Column:
     return F.round(as_col(a) / as_col(b), decimals)
 
 
+def with_share(df: DataFrame, column: str, total: Column, name: str, decimals: int = 2) -> DataFrame:
+    """``column`` as a percentage of ``total``, in exact decimal arithmetic, as a double."""
+    return df.withColumn(name, F.round(F.expr(f"{_q(column)} * 100.0") / total, decimals).cast("double"))
+
+
 def share_of_total(df: DataFrame, column: str, name: str, decimals: int = 2) -> DataFrame:
-    """``x * 100.0 / SUM(x) OVER ()`` in exact decimal arithmetic, as a double.
+    """``x * 100.0 / SUM(x) OVER ()``.
 
     Meant for already aggregated frames whose row count is bounded by a small
     vocabulary (e.g. gender x age group): the empty window runs in one task.
     """
-    share = F.expr(f"{_q(column)} * 100.0") / window_total(column)
-    return df.withColumn(name, F.round(share, decimals).cast("double"))
+    return with_share(df, column, window_total(column), name, decimals)
 
 
 SUMMARY_STATS = ["count", "mean", "stddev", "min", "p25", "p50", "p75", "max"]

@@ -20,6 +20,8 @@ from racelake.session import app_id, lake_root
 from racelake.sources.files import COUNTRIES_SCHEMA, RESULTS_SCHEMA, read_csv
 from racelake.sources.fixture import country_lookup_raw, race_results_raw
 
+#: Tables that the silver pass makes together.
+SILVER_TABLES = ("silver_obt", "silver_candidates")
 _LOCK = threading.RLock()
 _LAKES: dict[tuple[str, str], "Lakehouse"] = {}
 
@@ -43,14 +45,11 @@ class Lakehouse:
             "bronze_results": sources.get("bronze_results", lambda: race_results_raw(spark, self.sf_dir)),
             "bronze_country_codes": sources.get("bronze_country_codes",
                                                 lambda: country_lookup_raw(spark, self.sf_dir)),
-            "silver_candidates": lambda: silver_plan.build_candidates(self.table("bronze_results"),
-                                                                      self.table("bronze_country_codes")),
-            "silver_obt": lambda: silver_plan.dedup_candidates(self.table("silver_candidates")),
+            "silver_accounting": self._silver_accounting,
             "dim_event": lambda: star.dim_event(self.table("silver_obt")),
             "dim_athlete": lambda: star.dim_athlete(self.table("silver_obt")),
             "dim_country": lambda: star.dim_country(self.table("silver_obt")),
             "dim_date": lambda: star.dim_date(self.table("silver_obt")),
-            "fact_results": lambda: star.fact_results(self.table("silver_obt")),
         }
 
     def path(self, name: str) -> str:
@@ -73,11 +72,33 @@ class Lakehouse:
         later calls reuse the same DataFrame and its file listing)."""
         if name not in self._built:
             with _LOCK:
+                if name in SILVER_TABLES:
+                    self._build_silver()
+                if name == "fact_results":
+                    star.write_fact(self.table("silver_obt"), self.path(name))
+                    self._built[name] = star.read_fact(self.spark, self.path(name))
                 if name not in self._built:
                     self._builders[name]().write.mode("overwrite").parquet(self.path(name))
                     self._built[name] = self.spark.read.parquet(self.path(name))
         return self._built[name]
 
+    def _build_silver(self) -> None:
+        """One pass over bronze: the silver rows with their copies (the files of ``silver_obt``), from which
+        ``silver_obt`` and ``silver_candidates`` are projections, and the accounting of every raw row."""
+        raw, lookup = self.table("bronze_results"), self.table("bronze_country_codes")
+        accounting = silver_plan.Accounting()
+        path = self.path("silver_obt")
+        silver_plan.counted_rows(raw, lookup, accounting).write.mode("overwrite").parquet(path)
+        counted = self.spark.read.parquet(path)
+        self._counts = accounting.counts(raw, lookup, counted.count())
+        self._built["silver_obt"] = counted.select(*silver_plan.SILVER_COLUMNS)
+        self._built["silver_candidates"] = silver_plan.repeat_copies(counted)
+
+    def _silver_accounting(self) -> DataFrame:
+        """(stage, row_count) of the last silver pass."""
+        self.table("silver_obt")
+        return self.spark.createDataFrame(sorted(self._counts.items()), "stage string, row_count long")
+
     # Convenience accessors.
     def raw(self) -> DataFrame:
         return self.table("bronze_results")
@@ -88,8 +109,10 @@ class Lakehouse:
     def silver(self) -> DataFrame:
         return self.table("silver_obt")
 
-    def fact(self) -> DataFrame:
-        return self.table("fact_results")
+    def fact(self, distance_type: str | None = None) -> DataFrame:
+        """The fact table; with a distance type only the files of that type."""
+        whole = self.table("fact_results")
+        return whole if distance_type is None else star.read_fact(self.spark, self.path("fact_results"), distance_type)
 
     def dims(self) -> dict[str, DataFrame]:
         return {n: self.table(f"dim_{n}") for n in ("event", "athlete", "country", "date")}

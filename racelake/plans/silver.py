@@ -5,8 +5,12 @@ dropping anything; ``_rules()`` gives the row rules in the reference order
 (``SILVER_RULE_NAMES``), ``FILTER_ORDER`` the cheap-first order used for
 filtering.  The candidates are the rows passing all rules, inner-joined to the
 country lookup and keyed; the silver table is the deduplicated candidates.
-``rejection_counts`` reuses the same columns and rules to account for every
-input row (first rule broken wins).
+
+``counted_rows`` does all of it in one pass: it parses once, observes how many rows
+each rule rejects (first rule broken wins) while the rows flow by, aggregates equal
+rows to one with their number (``copies``) and hashes the keys of what is left.  The
+silver table is that table without ``copies``, the candidates are its rows repeated
+``copies`` times, and the accounting needs no scan of its own.
 
 The chain is stateless up to the deduplication, so the same functions serve a
 static DataFrame and a streaming one (``racelake.streaming``).
@@ -16,7 +20,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from racelake.functions import athlete, dates, distance, keys, performance, speed
@@ -167,6 +172,90 @@ def add_keys(df: DataFrame) -> DataFrame:
     return df.withColumns({"event_id": keys.event_id(), "result_id": keys.result_id()})
 
 
+COPIES = "copies"
+#: Rows that one step of ``repeat_copies`` makes of an array: bounds the memory of a hot row.
+COPY_STEP = 1 << 16
+
+
+def reject_reason() -> Column:
+    """The first rule, in the rules' order, that a row of ``silver_columns`` breaks; NULL if none."""
+    reason = None
+    for name, rule in _rules():
+        broken = ~F.coalesce(rule, F.lit(False))
+        reason = F.when(broken, name) if reason is None else reason.when(broken, name)
+    return reason
+
+
+def _observed(observation: Observation) -> dict[str, int]:
+    """The metrics; none if the observed rows were found empty while the query ran and left its plan."""
+    try:
+        return observation.get
+    except Py4JJavaError:  # a row without columns
+        return {}
+
+
+class Accounting:
+    """What became of the raw rows of one silver pass, observed while it is written.
+
+    Spark counts an observed row again where a lost executor makes it repeat a finished task, and
+    forgets the metrics of a part that it finds empty at run time, so ``counts`` compares the sums
+    with the number of raw rows and counts anew if they differ.
+    """
+
+    def __init__(self) -> None:
+        self._rules, self._matches = Observation(), Observation()
+
+    def observe_rules(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._rules, *[F.count_if(F.col("_reason") == name).alias(name)
+                                         for name in SILVER_RULE_NAMES])
+
+    def observe_matches(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._matches, F.count(F.lit(1)).alias("passed"),
+                          F.count_if(F.col("country_code_iso3").isNull()).alias("no_country_match"))
+
+    def counts(self, raw: DataFrame, lookup: DataFrame, kept: int) -> dict[str, int]:
+        """Rows by stage once the pass is written with ``kept`` rows; stages without rows are left out.
+
+        ``raw`` is only counted (for stored tables: from the files' footers)."""
+        total, rules, matches = raw.count(), _observed(self._rules), _observed(self._matches)
+        found = {name: rules.get(name, 0) for name in SILVER_RULE_NAMES}
+        if sum(found.values()) + matches.get("passed", 0) == total:
+            found["no_country_match"] = matches.get("no_country_match", 0)
+        else:
+            found = {r["stage"]: r["row_count"] for r in _rejected(raw, lookup).collect()}  # a row per rule
+        found |= {"duplicate": total - sum(found.values()) - kept, "kept": kept}
+        return {stage: n for stage, n in found.items() if n}
+
+
+def valid_enriched(raw: DataFrame, lookup: DataFrame, accounting: Accounting) -> DataFrame:
+    """Rows passing every rule, with their country, before deduplication and keys; rejections are observed."""
+    tagged = accounting.observe_rules(silver_columns(raw).withColumn("_reason", reject_reason()))
+    kept = tagged.filter(F.col("_reason").isNull()).drop("_reason", DISTANCE_CLASS)
+    matched = accounting.observe_matches(enrich(kept, clean_country_lookup(lookup), "athlete_country",
+                                                "athlete_country_code", how="left"))
+    base = [c for c in SILVER_COLUMNS if c not in ("event_id", "result_id")]
+    return matched.filter(F.col("country_code_iso3").isNotNull()).select(*base)
+
+
+def counted_rows(raw: DataFrame, lookup: DataFrame, accounting: Accounting) -> DataFrame:
+    """Silver rows and how often each occurs (31 columns), from one parse and one hash of the keys.
+
+    Every silver column is a function of ``DEDUP_COLUMNS`` (the derived ones are parsed from
+    them, the keys hash them), so rows that repeat those 15 columns are fully identical: a hash
+    aggregate over all of them with partial counts in each task, keys added to what is left.
+    """
+    rows = valid_enriched(raw, lookup, accounting)
+    return add_keys(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(COPIES))).select(*SILVER_COLUMNS, COPIES)
+
+
+def repeat_copies(counted: DataFrame) -> DataFrame:
+    """Every row as often as it occurred: the candidates before deduplication (30 columns)."""
+    last = F.col(COPIES) - 1
+    steps = counted.withColumn("_step", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(COPY_STEP).cast("long"))))
+    each = F.sequence(F.col("_step"), F.least(F.col("_step") + (COPY_STEP - 1), last))
+    return steps.withColumn("_copy", F.explode(each)).select(*SILVER_COLUMNS)
+
+
 def build_candidates(raw: DataFrame, lookup: DataFrame) -> DataFrame:
     """Valid, enriched and keyed rows before deduplication (30 columns)."""
     rows = enrich_country(valid_rows(raw), lookup)
@@ -193,29 +282,30 @@ def build_silver(raw: DataFrame, lookup: DataFrame) -> DataFrame:
     return dedup_candidates(build_candidates(raw, lookup))
 
 
+def _rejected(raw: DataFrame, lookup: DataFrame) -> DataFrame:
+    """(stage, row_count) of the rejected rows, from one scan and one left join to the lookup."""
+    derived = silver_columns(raw)
+    keys = clean_country_lookup(lookup).select("athlete_country_code", "country_code_iso3")
+    tagged = (enrich(derived.select("athlete_country", reject_reason().alias("_reason")), keys,
+                     "athlete_country", "athlete_country_code", how="left")
+              .select(F.coalesce(F.col("_reason"), F.when(F.col("country_code_iso3").isNull(),
+                                                          F.lit("no_country_match"))).alias("stage")))
+    return (tagged.filter(F.col("stage").isNotNull()).groupBy("stage")
+            .agg(F.count(F.lit(1)).alias("row_count")))
+
+
 def rejection_counts(raw: DataFrame, lookup: DataFrame, candidates: DataFrame | None = None,
                      silver: DataFrame | None = None) -> DataFrame:
     """(stage, row_count): every raw row lands in exactly one bucket.
 
     Buckets: the first silver rule a row breaks (reference order), then
     ``no_country_match`` for valid rows without a lookup match, ``duplicate``
-    for repeated rows, and ``kept``.  Rejections come from one scan and one
-    left join to the lookup; kept and duplicate rows are the row
-    counts of the materialised candidates and silver tables when given
-    (otherwise they are derived here).
+    for repeated rows, and ``kept``.  The lake stores the same counts as observed by
+    the pass that wrote silver (``Accounting``); this is the form without a stored
+    lake.  Kept and duplicate rows are the row counts of the candidates and silver
+    tables when given (otherwise they are derived here).
     """
-    derived = silver_columns(raw)
-    reason = None
-    for name, rule in _rules():
-        broken = ~F.coalesce(rule, F.lit(False))
-        reason = F.when(broken, name) if reason is None else reason.when(broken, name)
-    keys = clean_country_lookup(lookup).select("athlete_country_code", "country_code_iso3")
-    tagged = (enrich(derived.select("athlete_country", reason.alias("_reason")), keys,
-                     "athlete_country", "athlete_country_code", how="left")
-              .select(F.coalesce(F.col("_reason"), F.when(F.col("country_code_iso3").isNull(),
-                                                          F.lit("no_country_match"))).alias("stage")))
-    rejected = (tagged.filter(F.col("stage").isNotNull()).groupBy("stage")
-                .agg(F.count(F.lit(1)).alias("row_count")))
+    rejected = _rejected(raw, lookup)
     if candidates is None:
         candidates = build_candidates(raw, lookup)
     if silver is None:

@@ -11,7 +11,7 @@ results; those dimensions keep the row that sorts first by a total order
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from racelake.functions.dates import date_key
@@ -35,12 +35,20 @@ def dim_event(silver: DataFrame) -> DataFrame:
     return silver.select(*DIM_EVENT_COLUMNS).distinct()
 
 
+def pick_latest(rows: DataFrame) -> DataFrame:
+    """One row per athlete: the latest event start date, then the smallest result id."""
+    return one_row_per_key(rows, "athlete_id", order_by=["event_start_date", "result_id"],
+                           descending=["event_start_date"])
+
+
+def latest_athletes(silver: DataFrame) -> DataFrame:
+    """Latest attributes per athlete, with the date and result that they come from."""
+    return pick_latest(silver.select(*DIM_ATHLETE_COLUMNS, "event_start_date", "result_id"))
+
+
 def dim_athlete(silver: DataFrame) -> DataFrame:
     """Latest attributes per athlete (by event start date, then result id)."""
-    picked = one_row_per_key(
-        silver.select(*DIM_ATHLETE_COLUMNS, "event_start_date", "result_id"),
-        "athlete_id", order_by=["event_start_date", "result_id"], descending=["event_start_date"])
-    return picked.select(*DIM_ATHLETE_COLUMNS)
+    return latest_athletes(silver).select(*DIM_ATHLETE_COLUMNS)
 
 
 def dim_country(silver: DataFrame) -> DataFrame:
@@ -50,18 +58,40 @@ def dim_country(silver: DataFrame) -> DataFrame:
 
 
 def dim_date(silver: DataFrame) -> DataFrame:
+    """One row per start date; the dates are made distinct before any is formatted."""
     d = F.col("event_start_date")
-    return silver.select(
+    return silver.select(d).distinct().select(
         date_key(d).alias("date_id"),
-        d.alias("event_start_date"),
+        d,
         F.year(d).alias("year"),
         F.month(d).alias("month"),
         F.date_format(d, "MMMM").alias("month_name"),
         F.dayofmonth(d).alias("day"),
-    ).distinct()
+    )
+
+
+def _fact_columns() -> list[Column]:
+    return [date_key("event_start_date").alias(c) if c == "date_id" else F.col(c) for c in FACT_COLUMNS]
 
 
 def fact_results(silver: DataFrame) -> DataFrame:
     """Projection only: no shuffle."""
-    return silver.select(*[date_key("event_start_date").alias(c) if c == "date_id" else F.col(c)
-                           for c in FACT_COLUMNS])
+    return silver.select(*_fact_columns())
+
+
+#: The fact table's files are parted by this attribute of the event, which every distance view asks for.
+FACT_PARTITION = "event_distance_type"
+
+
+def write_fact(silver: DataFrame, path: str) -> None:
+    """The fact rows, in a folder per distance type (three values, so at most three files a task)."""
+    (silver.select(*_fact_columns(), FACT_PARTITION)
+     .write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(path))
+
+
+def read_fact(spark: SparkSession, path: str, distance_type: str | None = None) -> DataFrame:
+    """The fact; with a distance type only that folder's files are read."""
+    stored = spark.read.parquet(path)
+    if distance_type is not None:
+        stored = stored.filter(F.col(FACT_PARTITION) == distance_type)
+    return stored.select(*FACT_COLUMNS)

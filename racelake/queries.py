@@ -21,6 +21,8 @@ from racelake.functions import speed as _speed
 from racelake.functions.columns import rename_column, safe_cast, snake_case_columns
 from racelake.operators import aggregates as _agg
 from racelake.operators import filters as _flt
+from racelake.operators import sketches as _sketches
+from racelake.operators import bitmaps as _bitmaps
 from racelake.operators.dedup import dedup_results
 from racelake.operators.joins import duplicate_key_values, rows_with_duplicate_keys
 from racelake.operators.sort import sorted_by, top_k
@@ -31,6 +33,7 @@ from racelake.plans import views
 from racelake.plans.lakehouse import Lakehouse, lakehouse
 from racelake.sources import files as _files
 from racelake.streaming import ingest as _stream
+from racelake.streaming import medallion as _medallion
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -64,19 +67,19 @@ for _dim in ("event", "athlete", "country", "date"):
 @register("vw_distance_km_results")
 def vw_distance_km_results(spark, sf_dir):
     lake = lakehouse(spark, sf_dir)
-    return views.distance_type_results(lake.fact(), lake.dims(), "distance_km")
+    return views.distance_type_results(lake.fact("distance_km"), lake.dims(), "distance_km")
 
 
 @register("vw_distance_mi_results")
 def vw_distance_mi_results(spark, sf_dir):
     lake = lakehouse(spark, sf_dir)
-    return views.distance_type_results(lake.fact(), lake.dims(), "distance_mi")
+    return views.distance_type_results(lake.fact("distance_mi"), lake.dims(), "distance_mi")
 
 
 @register("vw_time_hour_results")
 def vw_time_hour_results(spark, sf_dir):
     lake = lakehouse(spark, sf_dir)
-    return views.distance_type_results(lake.fact(), lake.dims(), "time_hours")
+    return views.distance_type_results(lake.fact("time_hours"), lake.dims(), "time_hours")
 
 
 @register("vw_global_leaderboard")
@@ -113,7 +116,7 @@ def demographics_full(spark, sf_dir):
 for _kind in ("km", "mi", "hour"):
     def _business(spark, sf_dir, _kind=_kind):
         lake = lakehouse(spark, sf_dir)
-        return views.business_view(lake.fact(), lake.dims(), _kind)
+        return views.business_view(lake.fact(views.BUSINESS_VIEWS[_kind][0]), lake.dims(), _kind)
     register(f"vw_{_kind}_business")(_business)
 
 
@@ -496,6 +499,44 @@ def q_profile_distinct_counts(spark, sf_dir):
     return _agg.profile_distinct(lakehouse(spark, sf_dir).raw())
 
 
+_PROFILES: dict[str, _sketches.ProfileStore] = {}
+PROFILE_BOUND = 1_000_000
+
+
+def _profile(spark, sf_dir) -> _sketches.ProfileStore:
+    """Sketches of the raw table's columns, taken of two deliveries apart; once per lake."""
+    lake = lakehouse(spark, sf_dir)
+    if lake.root not in _PROFILES:
+        store = _sketches.ProfileStore(spark, _scratch(spark, sf_dir, "profile"))
+        for k, part in enumerate(_two_drops(lake.raw())):
+            store.add(part, str(k))
+        _PROFILES[lake.root] = store
+    return _PROFILES[lake.root]
+
+
+@register("profile_distinct_bounded")
+def q_profile_distinct_bounded(spark, sf_dir):
+    """Merged sketches choose the columns of at most a million values, which are counted exactly."""
+    raw = lakehouse(spark, sf_dir).raw()
+    return _sketches.bounded_distinct(raw, _profile(spark, sf_dir).distinct_counts(), PROFILE_BOUND)
+
+
+@register("profile_sketch_error")
+def q_profile_sketch_error(spark, sf_dir):
+    """Per column whether the merged sketches' distinct count is within four standard errors of the exact one."""
+    estimate = _profile(spark, sf_dir).distinct_counts().withColumnRenamed("distinct_values", "estimate")
+    exact = _agg.profile_distinct(lakehouse(spark, sf_dir).raw())
+    off = F.abs(F.col("estimate") - F.col("distinct_values"))
+    bound = F.greatest(F.lit(1.0), F.col("distinct_values") * (4 * 1.04 / 2 ** (_sketches.LG_K / 2)))
+    return exact.join(estimate, "column_name").select("column_name", "distinct_values", (off <= bound).alias("within_bound"))
+
+
+@register("numeric_summary_merged")
+def q_numeric_summary_merged(spark, sf_dir):
+    """Counts, extremes and means of the numeric columns from merged sketches (the parts that are exact)."""
+    return _profile(spark, sf_dir).summary().select("column_name", "count", F.round("mean", 6).alias("mean"), "min", "max")
+
+
 @register("layer_row_counts")
 def q_layer_row_counts(spark, sf_dir):
     lake = lakehouse(spark, sf_dir)
@@ -612,8 +653,8 @@ def q_null_percentages(spark, sf_dir):
 
 @register("rejection_counts")
 def q_rejection_counts(spark, sf_dir):
-    lake = lakehouse(spark, sf_dir)
-    return _silver.rejection_counts(lake.raw(), lake.lookup(), lake.table("silver_candidates"), lake.silver())
+    """As observed by the pass that wrote silver."""
+    return lakehouse(spark, sf_dir).table("silver_accounting")
 
 
 @register("parse_failure_counts")
@@ -829,10 +870,88 @@ def q_stream_static_enrich(spark, sf_dir):
 
 @register("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
-    """The whole raw table delivered twice; state drops the re-delivered rows."""
+    """The whole raw table delivered twice; the keys of earlier batches drop the re-delivered rows."""
     schema, root, landings = _raw_landing(spark, sf_dir, "dedup_stream", lambda raw: [raw, raw])
     for land in landings:
         land()
         stream = snake_case_columns(_stream.read_csv_stream(spark, f"{root}/landing", schema))
-        _stream.write_append(_stream.dedup_stream(stream, stream.columns), f"{root}/out", f"{root}/_ckpt")
-    return spark.read.parquet(f"{root}/out")
+        out = _medallion.dedup_stream_exact(stream, f"{root}/out", f"{root}/_ckpt")
+    return out.select(*stream.columns)
+
+
+# ------------------------------------------------------------ incremental lake
+
+_INCREMENTAL: dict[str, _medallion.Medallion] = {}
+
+
+def _incremental(spark, sf_dir) -> _medallion.Medallion:
+    """The raw table in two deliveries, each taken through all layers by a run of its own; once per lake."""
+    lake = lakehouse(spark, sf_dir)
+    if lake.root not in _INCREMENTAL:
+        schema, root, landings = _raw_landing(spark, sf_dir, "medallion", _two_drops)
+        medallion = _medallion.Medallion(spark, f"{root}/lake", lake.lookup(), schema)
+        for land in landings:
+            land()
+            medallion.run(f"{root}/landing")
+        _INCREMENTAL[lake.root] = medallion
+    return _INCREMENTAL[lake.root]
+
+
+@register("incremental_silver_obt")
+def q_incremental_silver_obt(spark, sf_dir):
+    """Silver after two deliveries: exact deduplication over both."""
+    return _incremental(spark, sf_dir).silver()
+
+
+@register("incremental_fact_results")
+def q_incremental_fact_results(spark, sf_dir):
+    """The fact parts of both deliveries."""
+    return _incremental(spark, sf_dir).fact()
+
+
+@register("stream_rejection_counts")
+def q_stream_rejection_counts(spark, sf_dir):
+    """The losses of each micro-batch, observed and stored with it, added up."""
+    return _incremental(spark, sf_dir).accounting()
+
+
+@register("incremental_global_leaderboard")
+def q_incremental_global_leaderboard(spark, sf_dir):
+    return _incremental(spark, sf_dir).gold.global_leaderboard()
+
+
+@register("incremental_seasonal_race_trends")
+def q_incremental_seasonal_race_trends(spark, sf_dir):
+    return _incremental(spark, sf_dir).gold.seasonal_race_trends()
+
+
+@register("incremental_country_seasonal_trends")
+def q_incremental_country_seasonal_trends(spark, sf_dir):
+    return _incremental(spark, sf_dir).gold.country_seasonal_trends()
+
+
+@register("incremental_runner_demographics")
+def q_incremental_runner_demographics(spark, sf_dir):
+    return _incremental(spark, sf_dir).gold.runner_demographics()
+
+
+@register("incremental_demographics_full")
+def q_incremental_demographics_full(spark, sf_dir):
+    return _incremental(spark, sf_dir).gold.demographics_full()
+
+
+@register("compacted_country_seasonal_trends")
+def q_compacted_country_seasonal_trends(spark, sf_dir):
+    """The state of both deliveries merged into one, then the view."""
+    return _incremental(spark, sf_dir).gold.compact(f"merged{uuid.uuid4().hex[:8]}").country_seasonal_trends()
+
+
+@register("bitmap_distinct_counts")
+def q_bitmap_distinct_counts(spark, sf_dir):
+    """Exact distinct athletes and events per country through bitmaps; events numbered densely."""
+    lake = lakehouse(spark, sf_dir)
+    numbers = _bitmaps.dense_numbers(lake.table("dim_event").select("event_id"), "event_no")
+    fact = lake.fact().select("country_code_iso3", "athlete_id", "event_id").join(numbers, "event_id")
+    key = ["country_code_iso3"]
+    return (_bitmaps.distinct_count(fact, key, "athlete_id", "distinct_athletes")
+            .join(_bitmaps.distinct_count(fact, key, "event_no", "distinct_events"), key))
