@@ -97,7 +97,7 @@ class Lakehouse:
     def _silver_accounting(self) -> DataFrame:
         """(stage, row_count) of the last silver pass."""
         self.table("silver_obt")
-        return self.spark.createDataFrame(sorted(self._counts.items()), "stage string, row_count long")
+        return silver_plan.counts_table(self.spark, self._counts)
 
     # Convenience accessors.
     def raw(self) -> DataFrame:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from racelake.functions import athlete, dates, distance, keys, performance, speed
@@ -186,6 +186,15 @@ def reject_reason() -> Column:
     return reason
 
 
+def counts_table(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """(stage, row_count) rows of the counts, in one partition."""
+    if not counts:
+        return spark.createDataFrame([], "stage string, row_count long")
+    pairs = [F.lit(x) for stage, n in sorted(counts.items()) for x in (stage, n)]
+    return (spark.range(0, 1, 1, 1).select(F.explode(F.create_map(*pairs)).alias("stage", "row_count"))
+            .select("stage", F.col("row_count").cast("long").alias("row_count")))
+
+
 def _observed(observation: Observation) -> dict[str, int]:
     """The metrics; none if the observed rows were found empty while the query ran and left its plan."""
     try:

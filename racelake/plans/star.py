@@ -53,7 +53,7 @@ def dim_athlete(silver: DataFrame) -> DataFrame:
 
 def dim_country(silver: DataFrame) -> DataFrame:
     """One row per ISO3 code: the smallest athlete code and its name."""
-    return one_row_per_key(silver.select(*DIM_COUNTRY_COLUMNS), "country_code_iso3",
+    return one_row_per_key(silver.select(*DIM_COUNTRY_COLUMNS).distinct(), "country_code_iso3",
                            order_by=["athlete_country", "country_name"]).select(*DIM_COUNTRY_COLUMNS)
 
 

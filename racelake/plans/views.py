@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from racelake.functions.athlete import age_group_label, business_age_group, gender_label
 from racelake.functions.performance import DISTANCE_TYPES, TIME_TYPES
-from racelake.operators.aggregates import fixed_point_avg, rounded_avg, with_share
+from racelake.operators.aggregates import fixed_point_avg, rounded_avg, share_of_total
 from racelake.operators.filters import keep_known
 
 # Which fact measure each distance-type view shows.
@@ -126,20 +126,18 @@ def runner_demographics(fact: DataFrame, dim_athlete: DataFrame) -> DataFrame:
 def demographics_full(fact: DataFrame, dim_athlete: DataFrame) -> DataFrame:
     """Demographics plus entries per athlete, participation share and events.
 
-    The share's grand total is a grouping set of the same aggregate: a row beside the groups, which
-    they read as a scalar subquery over the same exchange.
+    The share needs the grand total; it is taken over the aggregated rows, whose
+    number is bounded by gender x age-group labels (a grouping set read by a scalar subquery
+    runs the join twice, as Spark does not share the two plans' exchanges).
     """
-    keys = ["gender", "age_group", "age_group_sort"]
-    # max(): a filter on an aggregate stays above it, so groups and total share one aggregation
-    both = (_demographic_base(fact, dim_athlete).groupingSets([keys, []], *keys)
-            .agg(F.max(F.grouping_id()).alias("level"),
-                 F.count(F.lit(1)).alias("athlete_entries"),
-                 F.count_distinct("athlete_id").alias("unique_athletes"),
-                 F.count_distinct("event_id").alias("events_participated"),
-                 fixed_point_avg("athlete_average_speed_kmh", 3).alias("average_speed_kmh"),
-                 rounded_avg("athlete_age_at_event", 1).alias("average_athlete_age")))
-    total = both.filter("level > 0").select("athlete_entries").scalar()
-    return (with_share(both.filter("level = 0"), "athlete_entries", total, "participation_share_percent")
+    summary = (_demographic_base(fact, dim_athlete)
+               .groupBy("gender", "age_group", "age_group_sort")
+               .agg(F.count(F.lit(1)).alias("athlete_entries"),
+                    F.count_distinct("athlete_id").alias("unique_athletes"),
+                    F.count_distinct("event_id").alias("events_participated"),
+                    fixed_point_avg("athlete_average_speed_kmh", 3).alias("average_speed_kmh"),
+                    rounded_avg("athlete_age_at_event", 1).alias("average_athlete_age")))
+    return (share_of_total(summary, "athlete_entries", "participation_share_percent")
             .withColumn("entries_per_athlete", F.round(F.col("athlete_entries") / F.col("unique_athletes"), 2))
             .orderBy("gender", "age_group_sort")
             .select("gender", "age_group", "athlete_entries", "unique_athletes", "entries_per_athlete",

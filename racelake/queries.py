@@ -723,11 +723,9 @@ def q_performance_suffix_counts(spark, sf_dir):
 
 @register("missing_text_none")
 def q_missing_text_none(spark, sf_dir):
-    """Rows whose distance is missing: NULL, or the text ``None``; and rows with the text ``None`` as club."""
+    """Rows whose distance is missing: NULL, or the text ``None``."""
     columns = ["year_of_event", "event_dates", "event_name", "event_distance_length", "athlete_club", "athlete_id"]
-    r = _raw(spark, sf_dir).withColumn("club_or_distance", F.when(
-        F.col("event_distance_length").isNull(), F.lit(None)).otherwise(F.coalesce("athlete_club", F.lit("None"))))
-    return _flt.missing_rows(r, "club_or_distance").select(*columns)
+    return _flt.missing_rows(_raw(spark, sf_dir), "event_distance_length").select(*columns)
 
 
 @register("view_refresh")

@@ -119,8 +119,7 @@ class Medallion:
         valid = silver_plan.valid_enriched(raw, self.lookup, accounting)
         fresh = self.sink.add(valid, silver_plan.DEDUP_COLUMNS, number)
         counts = accounting.counts(raw, self.lookup, fresh.count())
-        (spark.createDataFrame(sorted(counts.items()), "stage string, row_count long").coalesce(1)
-         .write.mode("overwrite").parquet(f"{self.root}/accounting/batch={number}"))
+        silver_plan.counts_table(spark, counts).write.mode("overwrite").parquet(f"{self.root}/accounting/batch={number}")
         silver = silver_plan.add_keys(fresh).select(*silver_plan.SILVER_COLUMNS)
         star.write_fact(silver, f"{self.root}/fact_results/batch={number}")
         GoldStates(spark, self.gold.root).add(silver, f"{number:010d}")
