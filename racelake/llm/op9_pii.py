@@ -1,22 +1,27 @@
 """PII: information-theoretic sanitisation, in DataFrame functions only.
 
 Personal data of four kinds are the protected entities (patterns below; a kind's matches are
-the leftmost non-overlapping ones, then checked).  Around each entity the terms within
-``CONTEXT`` characters are collected.  Over the corpus, a term t discloses an entity e by
+the leftmost non-overlapping ones, then checked).  Over the corpus, a term t (a word in lower
+case without punctuation around it) discloses an entity e by
 
     disclosure(t, e) = PMI(t; e) / IC(e) = log(P(t, e) / (P(t) P(e))) / -log P(e)
 
-with probabilities by documents: 1 means that a document with the term is certain to hold the
-entity.  A term near an entity is a span to generalise if its disclosure is at least
-``DISCLOSURE`` and the two meet in ``SUPPORT`` different contexts or more (copies of one
-passage are one context).  ``sanitise`` replaces entities by their kind and such terms by
-``[TERM]``.
+with probabilities by documents, wherever in a document the two stand: 1 means that a document
+with the term is certain to hold the entity.  A term is to be generalised if for some entity its
+disclosure is at least ``DISCLOSURE`` and the two meet in ``SUPPORT`` different contexts or more.
+A document's context of an entity is the text within ``CONTEXT`` characters of it (of several
+occurrences, the one whose hash is smallest), so copies of one passage are one context; it serves
+for nothing else.  Every occurrence of such a term, in every document, is a span.  ``sanitise``
+replaces entities by their kind and such terms by ``[TERM]``.
+
+Counting: document frequencies are counted per word, over all documents.  The threshold bounds
+how frequent a term of an entity can be (``_most_frequent``), so the words of documents that hold
+an entity meet the counts before they meet the entities, and frequent words pair with nothing.
 
 The match positions come from ``split`` (the text between matches) and ``regexp_extract_all``
-(the matches).  Patterns are written with possessive quantifiers and anchored at the start of
-a run, which finds the same matches in linear time without recursion.  Only the entities with
-their short contexts are kept; documents are not shuffled.  Document frequencies are counted
-per word before they meet the candidate terms.
+(the matches), summed up by doubling steps (``_running``).  Patterns are written with possessive
+quantifiers and anchored at the start of a run, which finds the same matches in linear time
+without recursion.
 
 Cases: null and empty texts have no spans (checksum of the empty string); a text of any length
 is read whole; repeated rows count as documents each; a null ``doc_id`` stays null; an empty
@@ -74,50 +79,46 @@ def _value(kind: str, m: Column) -> Column:
                     else F.regexp_replace(m, "[^0-9]", ""))
 
 
-def _offsets(parts: Column, matches: Column) -> Column:
-    """(match, start) of the matches, from the text between them."""
-    none = F.array().cast("array<struct<m:string,s:int>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
+def _running(lengths: Column) -> Column:
+    """Running sums of an array of numbers.
+
+    Step k adds to each number the one 2**k places before it, so a long array takes a few passes; an
+    ``aggregate`` that appended to its result would copy it each time."""
+    place = lambda k: F.call_function("shiftleft", F.lit(1), k)
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(lengths) + 1)).cast("int"))
+    return F.aggregate(steps, lengths, lambda acc, k: F.transform(
+        acc, lambda x, i: x + F.when(i >= place(k), F.get(acc, i - place(k))).otherwise(0)))
 
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["at"] + F.char_length(x["p"])
-        return F.struct((s + F.char_length(x["m"])).alias("at"),
-                        F.concat(acc["out"], F.array(F.struct(x["m"].alias("m"), s.alias("s")))).alias("out"))
 
-    pairs = F.zip_with(F.slice(parts, F.lit(1), F.size(matches)), matches,
-                       lambda p, m: F.struct(p.alias("p"), m.alias("m")))
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+def _offsets(parts: Column, matches: Column) -> Column:
+    """(match, end, context) of the matches, from the text between them; ``context`` is the hash of the
+    text on both sides."""
+    # zipped, not indexed: a lambda would split the text anew for every match
+    sides = F.zip_with(parts, F.slice(parts, F.lit(2), F.size(matches)), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+    rows = F.zip_with(matches, F.slice(sides, F.lit(1), F.size(matches)),
+                      lambda m, x: F.struct(m.alias("m"), x["p"].alias("p"), x["q"].alias("q")))
+    ends = _running(F.transform(rows, lambda x: F.char_length(x["p"]) + F.char_length(x["m"])))
+    return F.zip_with(rows, ends, lambda x, e: F.struct(
+        x["m"].alias("m"), e.alias("e"),
+        F.xxhash64(F.right(x["p"], F.lit(CONTEXT)), F.left(x["q"], F.lit(CONTEXT))).alias("context")))
 
 
-SPAN = "array<struct<start:int,rank:int,kind:string,end:int,value:string>>"
+SPAN = "array<struct<start:int,rank:int,kind:string,end:int,value:string,context:bigint>>"
 
 
 def _spans(kind: str, text: Column) -> Column:
-    """Valid matches of a kind: (start, rank, kind, end, value)."""
+    """Valid matches of a kind: (start, rank, kind, end, value, context)."""
     pattern = F.lit(PATTERNS[kind])
     found = _offsets(F.split(text, PATTERNS[kind], -1), F.regexp_extract_all(text, pattern, F.lit(0)))
     good = F.filter(found, lambda x: _valid(kind, x["m"]))
     spans = F.transform(good, lambda x: F.struct(
-        x["s"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"),
-        (x["s"] + F.char_length(x["m"])).alias("end"), _value(kind, x["m"]).alias("value")))
+        (x["e"] - F.char_length(x["m"])).alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"),
+        x["e"].alias("end"), _value(kind, x["m"]).alias("value"), x["context"].alias("context")))
     may = text.contains(NEEDS[kind]) if kind in ("email", "phone") else text.rlike("[0-9]")
     return F.when(may, spans.cast(SPAN)).otherwise(F.array().cast(SPAN))
 
 
-def entities(docs: DataFrame) -> DataFrame:
-    """Per document its base spans in order, with the text on both sides of each."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = B.id_text(docs).withColumn("text", text)
-    for kind in KINDS:
-        rows = rows.withColumn(kind, _spans(kind, F.col("text")))
-    around = lambda x: F.struct(
-        x["start"].alias("start"), x["rank"].alias("rank"), x["kind"].alias("kind"), x["end"].alias("end"),
-        x["value"].alias("value"),
-        F.substring(F.col("text"), F.greatest(x["start"] - CONTEXT, F.lit(0)) + 1,
-                    F.least(x["start"], F.lit(CONTEXT))).alias("left"),
-        F.substring(F.col("text"), x["end"] + 1, F.lit(CONTEXT)).alias("right"))
-    return rows.select("doc_id", F.xxhash64("doc_id", "text").alias("key"),
-                       F.transform(F.array_sort(F.concat(*KINDS)), around).alias("base"))
+SPACES = "[\\x20\\x09-\\x0D]"
 
 
 def _term(word: Column) -> Column:
@@ -125,72 +126,94 @@ def _term(word: Column) -> Column:
     return F.regexp_replace(F.lower(word), "^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$", "")
 
 
-SPACES = "[\\x20\\x09-\\x0D]"
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text, of two characters at least."""
+    return F.filter(F.array_distinct(F.transform(F.split(text, SPACES), _term)), lambda t: F.char_length(t) > 1)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and a hash of both."""
+    rows = B.id_text(docs).withColumn("text", F.coalesce(F.col("text"), F.lit("")))
+    return rows.withColumn("key", F.xxhash64("doc_id", "text"))
 
 
-def _words_in(side: Column, offset: Column) -> Column:
-    """(term, start, end) of the words of a context, which begins at ``offset``."""
-    words = F.split(side, SPACES, -1)
-    n = F.size(words)
-    length = lambda upto: F.aggregate(F.slice(words, F.lit(1), upto), F.lit(0),
-                                      lambda a, w: a + F.char_length(w) + 1)
-    made = F.transform(words, lambda w, i: F.struct(
-        _term(w).alias("term"), (offset + length(i)).alias("s"), (offset + length(i) + F.char_length(w)).alias("e"),
-        i.alias("i"), n.alias("n")))
-    return made
-
-
-def contexts(found: DataFrame) -> DataFrame:
-    """One row per entity and whole word near it: key, entity, context, term, start, end."""
-    one = found.select("key", "base", F.explode("base").alias("x"))
-    left = F.filter(_words_in(F.col("x.left"), F.col("x.start") - F.char_length("x.left")),
-                    lambda w: ((w["i"] > 0) | (F.col("x.start") <= CONTEXT)) & (w["i"] < w["n"] - 1))
-    right = F.filter(_words_in(F.col("x.right"), F.col("x.end")),
-                     lambda w: (w["i"] > 0) & ((w["i"] < w["n"] - 1) | (F.char_length("x.right") < CONTEXT)))
-    rows = one.select("key", "base", F.col("x.value").alias("entity"),
-                      F.xxhash64("x.left", "x.right").alias("context"), F.explode(F.concat(left, right)).alias("w"))
-    clear = ~F.exists("base", lambda b: (b["start"] < F.col("w.e")) & (b["end"] > F.col("w.s")))
-    return (rows.filter((F.char_length("w.term") > 1) & clear)
-            .select("key", "entity", "context", F.col("w.term").alias("term"), F.col("w.s").alias("start"),
-                    F.col("w.e").alias("end")))
-
-
-def disclosing(spark: SparkSession, docs: DataFrame, found: DataFrame, near: DataFrame) -> DataFrame:
-    """(entity, term) pairs whose disclosure reaches the threshold."""
+def entities(docs: DataFrame) -> DataFrame:
+    """Per document its base spans in order and, if it has any, its terms."""
+    rows = _keyed(docs)
+    for kind in KINDS:
+        rows = rows.withColumn(kind, _spans(kind, F.col("text")))
+    rows = rows.select("doc_id", "key", "text", F.array_sort(F.concat(*KINDS)).alias("base"))
+    return rows.select("doc_id", "key", "base", F.when(F.size("base") > 0, _terms(F.col("text"))).alias("terms"))
+
+
+def _most_frequent(n_entity: Column, total: int) -> Column:
+    """In how many documents a term can be that discloses an entity found in ``n_entity`` of them.
+
+    disclosure >= D means P(t, e) / P(t) >= P(e) ** (1 - D), and the two meet in ``n_entity`` documents at most."""
+    return n_entity * F.pow(F.lit(float(total)) / n_entity, F.lit(1.0 - DISCLOSURE))
+
+
+def disclosing(spark: SparkSession, docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(entity, term) pairs whose disclosure and support reach the thresholds."""
     total = found.count()
-    joint = (near.groupBy("entity", "term", "context").agg(F.approx_count_distinct("key", 0.01).alias("k"))
-             .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts")).filter(F.col("contexts") >= SUPPORT))
-    pairs = near.join(joint.select("entity", "term"), ["entity", "term"], "left_semi")
-    both = (pairs.groupBy("entity", "term", "key").agg(F.lit(1).alias("one"))
-            .join(found.groupBy("key").agg(F.count(F.lit(1)).alias("rows")), "key")
-            .groupBy("entity", "term").agg(F.sum("rows").alias("both")))
-    both = B.store(spark, both, "pairs")
-    of_entity = (found.select("key", F.explode(F.array_distinct(F.transform("base", lambda b: b["value"]))).alias("entity"))
-                 .groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")))
-    # counted per word before the join: a frequent word sends one row per task
-    of_term = (docs.select(F.explode(F.array_distinct(F.transform(
-        F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), SPACES), _term))).alias("term"))
-        .groupBy("term").agg(F.count(F.lit(1)).alias("n_term")))
+    held = found.filter(F.size("base") > 0).select("key", "terms", F.col("base").alias("b"))
+    each = held.select("key", F.explode("b").alias("x")).select("key", F.col("x.value").alias("entity"), F.col("x.context").alias("context"))
+    # one row per document and entity: repeated rows of a document have one key, so their number is kept
+    rows = held.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+    of_doc = each.groupBy("key", "entity").agg(F.min("context").alias("context")).join(rows, "key")
+    of_entity = (of_doc.groupBy("entity", "context").agg(F.sum("rows").alias("n"))
+                 .groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("contexts"))
+                 .filter((F.col("contexts") >= SUPPORT) & (F.col("n_entity") < total))
+                 .select("entity", "n_entity", _most_frequent(F.col("n_entity"), total).alias("most")))
+    of_entity = B.store(spark, of_entity, "entities-supported", free=False)
+    most = of_entity.agg(F.max("most")).first()[0] or 0.0
+    of_doc = B.store(spark, of_doc.join(of_entity, "entity"), "entities-of-documents", free=False)
+
+    # counted per word before anything is joined: a frequent word sends one row per task
+    of_term = (_keyed(docs).select(F.explode(_terms(F.col("text"))).alias("term"))
+               .groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+               .filter((F.col("n_term") >= SUPPORT) & (F.col("n_term") <= most)))
+    words = (held.join(of_doc.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+             .select("key", F.explode("terms").alias("term")).join(of_term, "term"))
+    pairs = words.join(of_doc, "key").filter(F.col("n_term") <= F.col("most"))
+    both = (pairs.groupBy("entity", "term", "n_term", "n_entity", "context").agg(F.sum("rows").alias("n"))
+            .groupBy("entity", "term", "n_term", "n_entity").agg(F.sum("n").alias("both"), F.count(F.lit(1)).alias("contexts"))
+            .filter(F.col("contexts") >= SUPPORT))
     p = lambda c: F.col(c) / F.lit(float(max(total, 1)))
     gain = F.log(p("both") / (p("n_term") * p("n_entity"))) / -F.log(p("n_entity"))
-    return (both.join(of_term, "term").join(of_entity, "entity").filter(F.col("n_entity") < total)
-            .filter(gain >= DISCLOSURE).select("entity", "term"))
+    return both.filter(gain >= DISCLOSURE).select("entity", "term")
+
+
+def occurrences(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(key, words): the words of each document whose term is one of ``terms``, as (start, end)."""
+    rows = _keyed(docs).select("key", "text")
+    holding = (rows.select("key", F.explode(_terms(F.col("text"))).alias("term")).join(terms, "term", "left_semi")
+               .groupBy("key").agg(F.collect_set("term").alias("held")))
+    words = F.split(F.col("text"), SPACES, -1)
+    ends = _running(F.transform(words, lambda w: F.char_length(w) + 1))
+    placed = F.zip_with(words, ends, lambda w, e: F.struct(
+        (e - 1 - F.char_length(w)).alias("start"), (e - 1).alias("end"), _term(w).alias("term")))
+    return (rows.join(holding, "key").dropDuplicates(["key"])
+            .select("key", F.filter(placed, lambda w: F.array_contains("held", w["term"])).alias("words")))
 
 
 def spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Per document ``doc_id``, ``key``, ``base`` and ``all`` spans (start, rank, kind, end), in order."""
-    found = B.store(spark, entities(docs), "entities")
-    near = B.store(spark, contexts(found), "contexts")
-    told = disclosing(spark, docs, found, near)
-    more = (near.join(told, ["entity", "term"], "left_semi")
-            .groupBy("key").agg(F.collect_set(F.struct("start", F.lit(len(KINDS)).alias("rank"),
-                                                       F.lit("term").alias("kind"), "end")).alias("more")))
+    """Per document ``doc_id``, ``key``, ``base`` and ``all`` spans (start, rank, kind, end), in order.
+
+    A word that overlaps a base span is no span of its own."""
+    found = B.store(spark, entities(docs), "entities", free=False)
+    told = B.store(spark, disclosing(spark, docs, found).select("term").distinct(), "terms", free=False)
+    kind = "array<struct<start:int,rank:int,kind:string,end:int>>"
     plain = F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["rank"].alias("rank"),
-                                                   b["kind"].alias("kind"), b["end"].alias("end")))
-    none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")
-    return (found.select("doc_id", "key", plain.cast("array<struct<start:int,rank:int,kind:string,end:int>>").alias("base"))
-            .join(more, "key", "left")
-            .select("doc_id", "key", "base", F.array_sort(F.concat("base", F.coalesce("more", none))).alias("all")))
+                                                   b["kind"].alias("kind"), b["end"].alias("end"))).cast(kind)
+    rows = found.select("doc_id", "key", plain.alias("base"))
+    if told.isEmpty():
+        return rows.select("doc_id", "key", "base", F.col("base").alias("all"))
+    clear = F.filter("words", lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (b["end"] > w["start"])))
+    more = F.transform(clear, lambda w: F.struct(w["start"].alias("start"), F.lit(len(KINDS)).alias("rank"),
+                                                 F.lit("term").alias("kind"), w["end"].alias("end"))).cast(kind)
+    return (rows.join(occurrences(docs, told), "key", "left")
+            .select("doc_id", "key", "base", F.array_sort(F.concat("base", F.coalesce(more, F.array().cast(kind)))).alias("all")))
 
 
 def _joined(column: str) -> Column:

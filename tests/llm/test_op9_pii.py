@@ -1,5 +1,8 @@
 import hashlib
+import math
+import random
 import re
+import time
 
 from conftest_llm import SMALL, frame
 
@@ -67,6 +70,60 @@ def test_terms_that_reveal_an_entity_are_added(spark):
     assert {r.text for r in clean.collect() if r.doc_id == 3} == {"note 3 office of [TERM] [EMAIL] thanks3"}
 
 
+def brute_terms(docs):
+    """(disclosing terms, spans of terms per document) by the definitions, over whole documents."""
+    found = [base(t) for _, t in docs]
+    words = [[(m.start(), m.end(), re.sub(r"^[^\w]+|[^\w]+$", "", m[0].lower())) for m in re.finditer(r"[^\x20\x09-\x0D]+", t or "")]
+             for _, t in docs]
+    has = [{w for _, _, w in ws if len(w) > 1} for ws in words]
+    values = [{(t[s:e].lower(), t[max(s - 60, 0):s][-60:], t[e:e + 60]) for s, _, _, e in f} for f, (_, t) in zip(found, docs)]
+    total, told = len(docs), set()
+    for e in {v for vs in values for v, _, _ in vs}:
+        of = [k for k, vs in enumerate(values) if any(v == e for v, _, _ in vs)]
+        for term in set().union(*(has[k] for k in of)):
+            both = [k for k in of if term in has[k]]
+            contexts = {next(x[1:] for x in sorted(values[k]) if x[0] == e) for k in both}
+            n_term = sum(term in h for h in has)
+            if len(contexts) < 3 or len(of) == total:
+                continue
+            pmi = math.log(len(both) * total / (n_term * len(of)))
+            if pmi / -math.log(len(of) / total) >= 0.8 - 1e-12:
+                told.add(term)
+    spans = [[(s, e) for s, e, w in ws if w in told and not any(b[0] < e and b[3] > s for b in f)]
+             for ws, f in zip(words, found)]
+    return told, spans
+
+
+def test_terms_equal_brute_force_over_whole_documents(spark):
+    """Names far from the entity, and in documents without it, are spans too."""
+    rng = random.Random(9)
+    filler = [f"word{k}" for k in range(40)]
+    prose = lambda n: " ".join(rng.choice(filler) for _ in range(n))
+    docs = []
+    for k in range(8):
+        docs.append((k, f"{prose(3)} Quillfeather {prose(40)} bob@x.io {prose(9)}"))
+        docs.append((100 + k, f"{prose(9)} +1 555 123 4567{k % 2} {prose(20)} (Marrowby) {prose(5)} Marrowby."))
+    docs += [(200, f"only {prose(30)} quillfeather, {prose(5)} Quillfeather"), (201, prose(60)), (202, None), (203, "")]
+    docs += [(300 + k, prose(50)) for k in range(150)]
+    told, spans = brute_terms(docs)
+    assert {"quillfeather", "marrowby"} <= told
+    rows = {r.doc_id: r for r in op.digest(spark, frame(spark, docs)).collect()}
+    check(rows.values(), docs)
+    for (i, _), want in zip(docs, spans):
+        got = [tuple(map(int, x.split(":")[1:])) for x in rows[i].spans.split(",") if x.startswith("term")]
+        assert got == want, i
+    assert rows[200].spans.count("term") == 2 and len(spans[0]) >= 1
+
+
+def test_many_matches_in_one_text_take_seconds(spark):
+    text = " ".join(f"u{k}@h{k % 7}.io {k}" for k in range(100_000))
+    start = time.time()
+    row = op.digest(spark, frame(spark, [(1, text), (2, "1 2 " * 100_000)])).filter("doc_id = 1").first()
+    assert row.n_email == 100_000 and time.time() - start < 120
+    joined = ",".join(f"email:{m.start()}:{m.end()}" for m in re.finditer(r"[a-z0-9]+@[a-z0-9.]+", text))
+    assert row.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+
+
 def test_copies_of_one_passage_are_no_support(spark):
     docs = [(k, "call Quillfeather at bob@x.io") for k in range(9)] + [(50 + k, f"other text {k}") for k in range(50)]
     assert not any("term" in r.spans for r in op.digest(spark, frame(spark, docs)).collect())
