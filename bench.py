@@ -36,7 +36,7 @@ def main() -> None:
     timings: dict[str, float] = {}
 
     lake = lakehouse(spark, sf_dir)
-    for layer in ("bronze_results", "bronze_country_codes", "silver_candidates", "silver_obt",
+    for layer in ("bronze_results", "bronze_country_codes", "silver_obt", "silver_accounting",
                   "fact_results", "dim_event", "dim_athlete", "dim_country", "dim_date"):
         t0 = time.perf_counter()
         lake.table(layer)

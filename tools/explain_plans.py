@@ -13,9 +13,10 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-KEY_QUERIES = ["silver_candidates (build)", "silver_obt (build)", "dim_athlete (build)", "vw_distance_km_results",
-               "vw_global_leaderboard", "vw_runner_demographics", "dq_missing_athlete_keys", "duplicate_rows_detail",
-               "rejection_counts", "top_speeds"]
+KEY_QUERIES = ["silver (one pass)", "dim_athlete (build)", "vw_distance_km_results",
+               "vw_global_leaderboard", "incremental_global_leaderboard", "bitmap_distinct_counts",
+               "vw_runner_demographics", "dq_missing_athlete_keys", "duplicate_rows_detail",
+               "profile_distinct_counts", "top_speeds"]
 
 
 def _plan(df) -> str:
@@ -25,7 +26,7 @@ def _plan(df) -> str:
     text = buf.getvalue()
     tree = text.split("\n\n")[0]
     details = [ln for ln in text.splitlines()
-               if re.match(r"^(PushedFilters|ReadSchema|Join type|Left keys|Right keys|Arguments: \[?Hash|Keys|"
+               if re.match(r"^(PartitionFilters|PushedFilters|ReadSchema|Join type|Left keys|Right keys|Arguments: \[?Hash|Keys|"
                            r"Functions|Condition)", ln)]
     return tree + "\n\n" + "\n".join(ln[:240] for ln in details)
 
@@ -40,8 +41,7 @@ def main() -> None:
     spark = get_session("local[8]", 16)
     lake = lakehouse(spark, sf_dir)
     frames = {
-        "silver_candidates (build)": silver.build_candidates(lake.raw(), lake.lookup()),
-        "silver_obt (build)": silver.dedup_candidates(lake.table("silver_candidates")),
+        "silver (one pass)": silver.counted_rows(lake.raw(), lake.lookup(), silver.Accounting()),
         "dim_athlete (build)": star.dim_athlete(lake.silver()),
     }
     out = ["# PLANS", "", f"Physical plans (`explain('formatted')`, tree plus scan/join/aggregate details) at `{sf_dir}`,",
