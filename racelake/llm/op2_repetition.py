@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from racelake.llm import _blocks as B
@@ -41,6 +42,19 @@ def _sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return c[ends] - c[starts]
 
 
+#: From this length on spans are hashed byte by byte: the polynomial of ``span_hash`` is modulo 2**64, where
+#: structured texts of 1,024 characters and more can share a hash.
+LONG = 256
+
+
+def _hashes(data: np.ndarray, pre: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte spans."""
+    out = B.span_hash(pre, starts, ends)
+    for k in np.flatnonzero(ends - starts >= LONG):
+        out[k] = xxhash.xxh3_64_intdigest(data[starts[k]:ends[k]])
+    return out
+
+
 def measure(block: B.Block) -> pa.Table:
     data, n_docs = block.data, len(block.ids)
     ws, we = B.words(data)
@@ -65,12 +79,12 @@ def measure(block: B.Block) -> pa.Table:
     w0, w1 = np.searchsorted(ws, ls), np.searchsorted(ws, le)
     has = w1 > w0
     ls, le, line_doc, w0, w1 = ls[has], le[has], line_doc[has], w0[has], w1[has]
-    at, opens = B.groups(B.span_hash(pre, ls, le) ^ salt[line_doc])
+    at, opens = B.groups(_hashes(data, pre, ls, le) ^ salt[line_doc])
     later = at[~opens]
     n_dup_lines = np.bincount(line_doc[later], minlength=n_docs)
     line_chars = np.bincount(line_doc[later], weights=_sums(chars, w0[later], w1[later]), minlength=n_docs)
 
-    word_hash = B.span_hash(pre, ws, we)
+    word_hash = _hashes(data, pre, ws, we)
     word_pre = B.prefix(word_hash)
     total = np.maximum(word_chars, 1)
     top, cover = np.zeros(n_docs), np.zeros(n_docs)

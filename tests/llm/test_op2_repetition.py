@@ -70,3 +70,14 @@ def test_keep_filters_rows_with_all_columns(spark, odd, odd_docs):
 
 def test_empty_table(spark, no_docs):
     assert op.repetition(spark, no_docs).collect() == [] and op.keep(no_docs).collect() == []
+
+
+def test_structured_lines_and_words_are_told_apart(spark):
+    """The Thue-Morse word and its complement: equal under any polynomial modulo 2**64."""
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    one, two = "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+    docs = [(1, f"{one}\n{two}"), (2, f"{one}\n{two}\n{one}"), (3, " ".join([one, two] * 5))]
+    got = {r.doc_id: r for r in op.repetition(spark, frame(spark, docs)).collect()}
+    assert [got[k].n_dup_lines for k in (1, 2, 3)] == [0, 1, 0]
+    assert got[3].n_repeat_words == 10  # a b a b a at two and more starts
+    assert tally(got.values(), *COLS[:6]) == sorted((r[:6] for r in brute(docs)), key=repr)
