@@ -5,6 +5,7 @@ from __future__ import annotations
 from racelake.llm import op11_negatives as _op11
 from racelake.llm import op12_fim as _op12
 from racelake.llm import op13_topk as _op13
+from racelake.llm import sql as _sql
 from racelake.llm.op1_suffix import op1_suffix
 from racelake.llm.op2_repetition import op2_repetition
 from racelake.llm.op3_decontaminate import op3_decontaminate
@@ -32,6 +33,9 @@ QUERIES = {
     "op13_topk": _op13.op13_topk,
 }
 ORACLES: dict[str, str] = {
+    "op1_suffix": _sql.SUFFIX,
+    "op2_repetition": _sql.REPETITION,
+    "op8_jaccard": _sql.JACCARD,
     "op11_negatives": _op11.ORACLE,
     "op12_fim": _op12.ORACLE,
     "op13_topk": _op13.ORACLE,
