@@ -6,6 +6,10 @@ from racelake.llm.op2_repetition import COVER_LIMITS, LINE_LIMIT, MAX_REPEAT_PER
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
+# the words from one on, joined, and how many there are
+_GRAM = """string_agg(word, ' ') OVER g AS gram, count(*) OVER g AS held
+  FROM words WINDOW g AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {last} FOLLOWING)"""
+
 SUFFIX = """
 WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 parts AS (  -- short pieces, so that no substring is cut out of a long text
@@ -35,9 +39,9 @@ JACCARD = f"""
 WITH RECURSIVE tokens AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                               'abcdefghijklmnopqrstuvwxyz'), {_WORD}) AS w FROM documents),
-grams AS (
-  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS gram
-  FROM tokens, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS u(i)),
+words AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM tokens),
+windows AS (SELECT doc_id, n, i, {_GRAM.format(last=4)}),
+grams AS (SELECT DISTINCT doc_id, gram FROM windows WHERE held = 5 OR (n < 5 AND i = 1)),
 sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
 common AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
@@ -57,15 +61,16 @@ FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN heads USING (doc_id)
 
 def _repetition() -> str:
     limits = ", ".join(f"({n}, {x!r}::DOUBLE, {kind})" for kind, d in ((0, TOP_LIMITS), (1, COVER_LIMITS)) for n, x in d.items())
+    grams = " UNION ALL ".join(f"""
+  SELECT doc_id, {n} AS n, {kind} AS kind, i, {_GRAM.format(last=n - 1)} QUALIFY held = {n}"""
+                               for kind, d in ((0, TOP_LIMITS), (1, COVER_LIMITS)) for n in d)
     return f"""
 WITH tokens AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w
                 FROM documents),
-words AS (SELECT doc_id, i, length(w[i]) AS chars FROM tokens, unnest(range(1, len(w) + 1)) AS u(i)),
-running AS (SELECT doc_id, i, sum(chars) OVER (PARTITION BY doc_id ORDER BY i) AS upto, chars FROM words),
+words AS (SELECT doc_id, i, word, length(word) AS chars
+          FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM tokens)),
 limits(n, most, kind) AS (VALUES {limits}),
-grams AS (
-  SELECT doc_id, n, kind, i, array_to_string(w[i:i + n - 1], ' ') AS gram
-  FROM tokens, limits, unnest(range(1, len(w) - n + 2)) AS u(i)),
+grams AS ({grams}),
 ranked AS (
   SELECT doc_id, n, kind, i, gram, count(*) OVER g AS times, row_number() OVER (g ORDER BY i) AS nth
   FROM grams WINDOW g AS (PARTITION BY doc_id, n, gram)),
