@@ -10,7 +10,7 @@ from racelake.llm import registry, stages
 
 def test_registered():
     assert list(entry.queries())[-1] == "pipeline" or "pipeline" in entry.queries()
-    assert [n.split("_")[0] for n in registry.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in registry.QUERIES] == [f"op{k}" for k in range(1, 14)]
 
 
 def test_each_stage_on_its_own_input(spark, small):
