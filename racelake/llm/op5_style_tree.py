@@ -11,8 +11,10 @@ an important place stays, as do ``html``, ``body``, ``main`` and ``article``; wo
 a block stay or go with it.  A host
 whose pages do not differ anywhere gives no evidence, nor does one with
 few pages; there, as everywhere, roles that markup states by itself (``nav``, ``footer``,
-``form``, a class ``ad``, ...) are removed.  If a page marks its article or main part, that
-part is read without asking the tree.
+``form``, a class ``ad``, ...) are removed.  If a page marks its article or main part, only that
+part is read, and the tree is asked there too; as the mark speaks for the part, a block of it
+goes only if another page of the host shows the same at that place, and a part that would lose
+all its text stays as it is.
 
 The distributions are counted by Spark, one row per (distinct page, place) and partial sums per
 task, so a host with a third of all pages is not gathered anywhere; a page only gets back the low
@@ -91,7 +93,7 @@ class _Page(HTMLParser):
     def __init__(self, removed: frozenset[int], measure: bool):
         super().__init__(convert_charrefs=True)
         self.removed, self.measure = removed, measure
-        self.elements: list[tuple[int, int | None, str]] = []  # (parent's number, path if it is read, tag)
+        self.elements: list[tuple[int, int | None, str, bool]] = []  # (parent's number, path if read, tag, in the article)
         self.stack = [_Node("", 0, False)]
         self.blocks: list[tuple[bool, str]] = []   # (inside the marked article, text)
         self.parts: list[str] = []
@@ -153,7 +155,7 @@ class _Page(HTMLParser):
             up.children.append(name)
             path = xxhash.xxh64_intdigest(f"{up.path}>{name}") >> 1
         at = len(self.elements)
-        self.elements.append((up.at, None if noise else path, tag))
+        self.elements.append((up.at, None if noise else path, tag, self.article > 0))
         noise = noise or at in self.removed
         if tag in ("article", "main") and not noise:
             self.article += 1
@@ -192,14 +194,17 @@ class _Page(HTMLParser):
         return "\n\n".join(marked if self.has_article and marked else [t for _, t in self.blocks])
 
 
-    def branches(self, low: frozenset[int]) -> frozenset[int]:
-        """The numbers of the blocks that are of low importance with all that is below them."""
-        gone = [(path is None or path in low) and tag not in PROTECTED for _, path, tag in self.elements]
+    def branches(self, low: frozenset[int], own: frozenset[int]) -> frozenset[int]:
+        """The numbers of the blocks that are of low importance with all that is below them.
+
+        In the marked article the places ``own``, where the page differs from all others, count as important."""
+        gone = [(path is None or path in low and not (inside and path in own)) and tag not in PROTECTED
+                for _, path, tag, inside in self.elements]
         for at in range(len(self.elements) - 1, -1, -1):
             up = self.elements[at][0]
             if up >= 0 and not gone[at]:
                 gone[up] = False
-        return frozenset(at for at, (_, path, tag) in enumerate(self.elements)
+        return frozenset(at for at, (_, path, tag, _) in enumerate(self.elements)
                          if gone[at] and path is not None and tag in BLOCK)
 
 
@@ -207,13 +212,15 @@ def parse(html: str | None, measure: bool = False, removed: frozenset[int] = fro
     return _Page(removed, measure).run(html or "")
 
 
-def main_text(html: str | None, low: frozenset[int]) -> str:
-    """The text of a page without its branches of low importance."""
+def main_text(html: str | None, low: frozenset[int], own: frozenset[int] = frozenset()) -> str:
+    """The text of a page without its branches of low importance; ``own``: the low places whose content it shares with
+    no other page of the host."""
     page = parse(html)
-    if low and not page.has_article:
-        removed = page.branches(low)
-        if removed:
-            page = parse(html, removed=removed)
+    removed = page.branches(low, own) if low else frozenset()
+    if removed:
+        less = parse(html, removed=removed)
+        if any(inside for inside, _ in less.blocks) or not any(inside for inside, _ in page.blocks):
+            page = less
     return page.text()
 
 
@@ -266,18 +273,21 @@ def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
     own = own.withColumn("host", F.when(F.col("host") != "", F.col("host")))
     own = own.withColumn("page", F.xxhash64("html"))
     places = B.store(spark, _places(own), "places")
-    mine = (places.select("page", "host", "place").join(low_places(places), ["host", "place"])
-            .groupBy("page", "host").agg(F.collect_set("place").alias("low")))
+    shown = places.select("page", "host", "place", "content").join(low_places(places), ["host", "place"])
+    alone = (shown.groupBy("host", "place", "content").agg(F.min("page").alias("page"), F.count(F.lit(1)).alias("n"))
+             .filter("n = 1").select("page", "host", "place", F.lit(True).alias("alone")))
+    mine = (shown.join(alone, ["page", "host", "place"], "left").groupBy("page", "host")
+            .agg(F.collect_set("place").alias("low"), F.collect_set(F.when(F.col("alone"), F.col("place"))).alias("own")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(html, frozenset(low or ()))
-                     for html, low in zip(batch.column("html").to_pylist(), batch.column("low").to_pylist())]
+            texts = [main_text(html, frozenset(low or ()), frozenset(own or ()))
+                     for html, low, own in zip(*(batch.column(c).to_pylist() for c in ("html", "low", "own")))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return (own.join(mine, ["page", "host"], "left").select("page_id", "url", "html", "low").mapInArrow(run, SCHEMA))
+    return (own.join(mine, ["page", "host"], "left").select("page_id", "url", "html", "low", "own").mapInArrow(run, SCHEMA))
 
 
 def op5_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,6 +66,18 @@ def test_same_text_with_and_without_marked_article(spark):
     assert sorted(t for _, t, _ in got) == sorted(text_of(k) for k in range(40) for _ in range(2))
 
 
+def test_the_tree_is_asked_in_marked_articles(spark):
+    """A repeated block inside the article goes; one text of its own at such a place stays, so does an article all alike."""
+    line = lambda k: "Read more on our site" if k else "Correction of May"
+    rows = [page(k, "news.example", f"<article>{body_of(k)}<div class=more><p class=x>{line(k)}</p></div></article>")
+            for k in range(40)]
+    want = {k: text_of(k) if k else f"{text_of(k)}\n\nCorrection of May" for k in range(40)}
+    assert {i: t for i, t, _ in run(spark, rows)} == want
+    alike = [page(k, "login.example", f"<article><p class=x>Log in</p></article><section><p>Teaser {k}</p></section>")
+             for k in range(40)]
+    assert {t for _, t, _ in run(spark, alike)} == {"Log in"}
+
+
 def test_an_ancestor_of_an_important_place_stays(spark):
     """The outer blocks have one presentation, and differ on one page in ten only."""
     rows = [page(k, "deep.example", f"<div class=o><div class=i><h2>Head</h2>{f'<section>Rare {k}</section>' if k % 10 == 0 else ''}"
