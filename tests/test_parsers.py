@@ -140,3 +140,22 @@ def test_snake_case(spark):
 def test_speed_quality(spark):
     got = [one(spark, v, speed.speed_quality) for v in [None, "09:29:17", "0.0", "7666.0", "7.5"]]
     assert got == ["raw_null", "malformed_not_numeric", "zero_or_negative", "scaled_above_1000", "valid_numeric"]
+
+
+def test_impossible_dates_are_null_without_a_failed_parse(spark):
+    texts = ["00.08.2004", "30.02.2011", "29.02.2004", "29.02.1900", "31.13.2001", "01.01.0000", "05.04.2003\n",
+             "31.-01.04.2005", "30.12.-02.01.2010", "30.12.-02.01.1000", "29.02.2004-30.02.2004", None]
+    df = spark.createDataFrame([(t,) for t in texts], "x string").withColumn("layout", dates.classify_date_format("x"))
+    by_text, by_layout = dates.event_date_bounds("x"), dates.event_date_bounds("x", layout="layout")
+    d = dt.date
+    want = [(None, None), (None, None), (d(2004, 2, 29),) * 2, (None, None), (None, None), None, (None, None),
+            (None, d(2005, 4, 1)), (d(2009, 12, 30), d(2010, 1, 2)), (None, d(1000, 1, 2)), (d(2004, 2, 29), None),
+            (None, None)]
+    for start, end in (by_text, by_layout):
+        rows = df.select("x", start.cast("string").alias("s"), end.cast("string").alias("e"))
+        got = {r.x: (r.s, r.e) for r in rows.collect()}
+        for text, w in zip(texts, want):
+            if w is not None:  # year 0 is a Spark date, but none of Python's
+                assert got[text] == tuple(x and x.isoformat() for x in w), text
+        assert got["01.01.0000"] == ("0000-01-01",) * 2
+        assert "try_to_date" not in rows._jdf.queryExecution().toString()
