@@ -188,3 +188,29 @@ def test_incremental_command(spark, sf_dir):
         paths = update(spark, f"{root}/landing", f"{root}/countries", f"{root}/out")
     for name in ("vw_distance_km_results", "vw_time_hour_results", "vw_seasonal_race_trends"):
         assert _same(spark.read.parquet(paths[name]), REGISTRY[name](spark, sf_dir))
+
+
+def test_a_row_is_parsed_only_as_far_as_its_first_broken_rule(spark, sf_dir):
+    """Three filters, each before the parsing of the next step, and the rows and losses of the rules at once."""
+    lake = lakehouse(spark, sf_dir)
+    accounting = silver_plan.Accounting()
+    rows = silver_plan.valid_enriched(lake.raw(), lake.lookup(), accounting)
+    assert len(accounting._rules.taken) == 3
+    want = silver_plan.enrich_country(silver_plan.valid_rows(lake.raw()), lake.lookup()).select(*rows.columns)
+    assert _same(rows, want)
+    found = accounting._rules.get
+    assert {k: n for k, n in found.items() if n} == {
+        r.reason: r.n for r in silver_plan.silver_columns(lake.raw()).groupBy(silver_plan.reject_reason().alias("reason"))
+        .agg(F.count(F.lit(1)).alias("n")).filter("reason is not null").collect()}
+
+
+def test_fine_groups_shuffle_numbers_not_bitmaps(spark):
+    """50,000 groups of two numbers: the same sets, and no bitmap before the rows of its group have met."""
+    df = spark.range(200_000, numPartitions=4).select((F.col("id") % 50_000).alias("g"), F.expr(
+        "if(id % 7 = 0, null, id % 100000 * 65536)").alias("n"))
+    fine, plain = bitmaps.bitmap_rows(df, ["g"], "n", fine=True), bitmaps.bitmap_rows(df, ["g"], "n")
+    few = F.col("g") < 2_000
+    assert _same(fine.filter(few), plain.filter(few))
+    plan = fine._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("bitmap_construct_agg") < plan.index("Exchange")
+    assert "bitmap_construct_agg" not in plan[plan.index("Exchange"):]
