@@ -276,8 +276,10 @@ def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
     shown = places.select("page", "host", "place", "content").join(low_places(places), ["host", "place"])
     alone = (shown.groupBy("host", "place", "content").agg(F.min("page").alias("page"), F.count(F.lit(1)).alias("n"))
              .filter("n = 1").select("page", "host", "place", F.lit(True).alias("alone")))
-    mine = (shown.join(alone, ["page", "host", "place"], "left").groupBy("page", "host")
-            .agg(F.collect_set("place").alias("low"), F.collect_set(F.when(F.col("alone"), F.col("place"))).alias("own")))
+    # united, not joined: the places are shuffled by content and by page, not by their own key as well
+    mine = (shown.select("page", "host", "place", F.lit(None).cast("boolean").alias("alone")).union(alone)
+            .groupBy("page", "host").agg(F.collect_set("place").alias("low"),
+                                         F.collect_set(F.when(F.col("alone"), F.col("place"))).alias("own")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

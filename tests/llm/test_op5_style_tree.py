@@ -121,3 +121,9 @@ def test_odd_pages(spark):
     ("<div class=cookie-notice>c</div><div class=address>kept</div><p hidden>h</p>", "kept")])
 def test_markup(markup, text):
     assert op.parse(markup).text() == text
+
+
+def test_places_are_not_shuffled_by_their_own_key(spark):
+    rows = spark.createDataFrame([page(k) for k in range(12)], "page_id long, url string, html string")
+    plan = op.extract(spark, rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and not re.search(r"Join .*place#\d+ = place#\d+.*page#\d+ = page#\d+|Join .*page#\d+ = page#\d+.*place#\d+ = place#\d+", plan)
