@@ -243,7 +243,7 @@ def _places(pages: DataFrame) -> DataFrame:
                 names=["page", "host", "place", "content", "shape"])
 
     shown = pages.select("page", "host", "html").filter("host is not null")
-    return (shown.mapInArrow(run, "page long, host string, place long, content long, shape long")
+    return (shown.mapInArrow(run, f"page long, host {dict(shown.dtypes)['host']}, place long, content long, shape long")
             .groupBy("page", "host", "place").agg(F.first("content").alias("content"), F.first("shape").alias("shape")))
 
 
@@ -270,7 +270,7 @@ def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                        F.col("html").cast("string").alias("html"))
     own = own.withColumn("host", F.lower(F.regexp_extract("url", "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)))
-    own = own.withColumn("host", F.when(F.col("host") != "", F.col("host")))
+    own = own.withColumn("host", F.when(F.col("host") != "", F.xxhash64("host")))  # shuffled with every place
     own = own.withColumn("page", F.xxhash64("html"))
     places = B.store(spark, _places(own), "places")
     shown = places.select("page", "host", "place", "content").join(low_places(places), ["host", "place"])

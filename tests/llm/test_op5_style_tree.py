@@ -127,3 +127,10 @@ def test_places_are_not_shuffled_by_their_own_key(spark):
     rows = spark.createDataFrame([page(k) for k in range(12)], "page_id long, url string, html string")
     plan = op.extract(spark, rows)._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in plan and not re.search(r"Join .*place#\d+ = place#\d+.*page#\d+ = page#\d+|Join .*page#\d+ = page#\d+.*place#\d+ = place#\d+", plan)
+
+
+def test_places_carry_a_number_for_their_host(spark, monkeypatch):
+    seen, places = [], op._places
+    monkeypatch.setattr(op, "_places", lambda pages: seen.append(dict(pages.dtypes)["host"]) or places(pages))
+    assert len(run(spark, [page(k) for k in range(12)])) == 12
+    assert seen == ["bigint"]
