@@ -64,3 +64,32 @@ def test_distance_kinds(spark, dist, expected):
 def test_missing_fields_dropped(spark):
     assert kept(spark, row(**{"Athlete country": None}), row(**{"Athlete gender": None}),
                 row(**{"Event number of finishers": 0})) == 0
+
+
+def test_silver_tasks_stay_small_however_large_the_bronze_files(spark, tmp_path, monkeypatch):
+    """A bronze file has many row groups, silver reads them in small splits and spreads its rows by their number."""
+    import pyarrow.parquet as pq
+
+    from racelake.plans import lakehouse as lh
+    from racelake.sources import files
+    from racelake.sources.fixture import race_results_raw
+
+    reading, parts = "spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions"
+    monkeypatch.setitem(files.BRONZE_OPTIONS, "parquet.block.size", str(16 << 10))
+    monkeypatch.setattr(lh, "ROWS_PER_PARTITION", 100)
+    seen, made = [], lh.silver_plan.counted_rows
+
+    def counted(raw, lookup, accounting):
+        seen.append((spark.conf.get(reading), int(spark.conf.get(parts))))
+        return made(raw, lookup, accounting)
+
+    monkeypatch.setattr(lh.silver_plan, "counted_rows", counted)
+    sf_dir = "/root/testdata/sf0.001"
+    lake = lh.Lakehouse(spark, sf_dir, root=str(tmp_path), sources={
+        "bronze_results": lambda: race_results_raw(spark, sf_dir).coalesce(1)})
+    before, rows = [spark.conf.get(k, None) for k in (reading, parts)], lake.raw().count()
+    file, = tmp_path.glob("bronze_results/*.parquet")
+    assert pq.ParquetFile(file).num_row_groups > 1
+    assert lake.silver().count() > 0
+    assert seen == [(files.BRONZE_READING[reading], max(int(before[1]), -(-rows // 100)))]
+    assert [spark.conf.get(k, None) for k in (reading, parts)] == before
