@@ -28,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from racelake.llm._blocks import id_text, shuffle_partitions, store, table
+from racelake.llm._blocks import id_bytes, id_text, shuffle_partitions, store, table
 
 SEQ_LEN = 4096
 END_ID = 2
-CACHE_WORDS = 600_000  # distinct pieces remembered by a worker; a full cache is emptied, results stay the same
+CACHE_WORDS = 200_000  # distinct pieces remembered by a worker; a full cache is emptied, results stay the same
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -114,7 +114,7 @@ def pieces(docs: DataFrame, path: str, seq_len: int = SEQ_LEN, end_id: int = END
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out: list[tuple] = []
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+            for i, t in id_bytes(iter([batch])):
                 ids = encoder.encode(t or b"") + end
                 n = len(ids) // 4
                 for s in range(0, n, seq_len):

@@ -1,8 +1,11 @@
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from conftest_llm import SMALL, tally
 
+from racelake.llm import _blocks as B
 from racelake.llm import op7_packing as op
 
 
@@ -62,5 +65,31 @@ def test_histogram_packing_places_everything_once():
     assert placed == histogram
 
 
+def test_rows_of_a_batch_become_objects_a_few_at_a_time():
+    """A batch of 32 MB and a cache of rare words do not fill a worker."""
+    rows = [(i, f"{i} ü".encode() + b"x" * 8000) for i in range(4000)] + [(None, None)]
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array(
+        [None if t is None else t.decode() for _, t in rows], pa.string())], names=["doc_id", "text"])
+    want = hash(tuple(rows))
+    del rows
+    tracemalloc.start()
+    at = tracemalloc.get_traced_memory()[0]
+    n = sum(1 for _ in B.id_bytes(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1] - at
+    tracemalloc.stop()
+    assert n == 4001 and most < 8 << 20
+    assert hash(tuple(B.id_bytes(iter([batch])))) == want
+
+
+def test_a_full_cache_is_emptied_and_changes_nothing(monkeypatch):
+    assert op.CACHE_WORDS <= 200_000
+    words = [f"w{chr(97 + n % 26)}{chr(97 + n // 26)}" for n in range(600)]
+    texts = [" ".join(words[n:n + 40]) for n in range(0, 600, 20)]
+    encoder = op.WordEncoder(op.tokenizer_path())
+    monkeypatch.setattr(op, "CACHE_WORDS", 50)
+    for text, ids in zip(texts, tokens(texts)):
+        assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == ids[:-1] and len(encoder.known) <= 50
+
+
 def test_empty_table(spark, no_docs):
     assert op.pack(spark, no_docs).collect() == []
