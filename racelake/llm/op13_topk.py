@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +42,7 @@ SLICES = 2
 QUERY_ROWS = 2048
 STRIPE_ROWS = 8192
 CHUNK = 256  # queries of a block whose lists are merged in one group
+FAN = 16  # stripes, or merged runs of stripes, whose lists are merged at once: bounds the memory of a group, no result
 
 LIST = "q_block long, chunk int, r_block long, slice int, q binary, r binary, part binary"
 _NAMES = [c.split(" ")[0] for c in LIST.split(", ")]
@@ -63,15 +65,6 @@ def _table(rows: list[dict]) -> pa.Table:
     return pa.Table.from_pylist(rows, _SCHEMA)
 
 
-def _by_chunk(q_block: int, r_block: int, part_of: int, q: np.ndarray, r: np.ndarray, part: np.ndarray) -> list[dict]:
-    order = np.argsort(q // CHUNK, kind="stable")
-    q, r, part = q[order], r[order], part[order]
-    chunks, first = np.unique(q // CHUNK, return_index=True)
-    last = np.append(first[1:], len(q))
-    return [_row(q_block, int(c), r_block, part_of, q[a:b], r[a:b], part[a:b])
-            for c, a, b in zip(chunks, first, last)]
-
-
 def _best(q: np.ndarray, score: np.ndarray, tie: np.ndarray, k: int) -> np.ndarray:
     """Indices of each query's ``k`` best scores (ties to the smaller ``tie``), by query and rank."""
     order = np.lexsort((tie, -score, q))
@@ -130,20 +123,40 @@ class Search:
 
         return self.tiles().applyInArrow(run, LIST)
 
+    def by_runs(self, lists: DataFrame, merge, schema: str) -> DataFrame:
+        """``lists`` merged over ``FAN`` stripes, then over ``FAN`` such runs and so on, until at most ``FAN`` are left."""
+        span = FAN
+        while span < self.rows.count:
+            run = F.expr(f"r_block div {span}").alias("run")
+            lists, span = lists.groupBy("q_block", "chunk", run).applyInArrow(merge, schema), span * FAN
+        return lists
+
     def named(self, lists: DataFrame) -> DataFrame:
         """The rows on the merged list of any slice, without repeats."""
         k = self.k
 
-        def run(t: pa.Table) -> pa.Table:
-            rows = t.to_pylist()
-            found = []
-            for part_of in {r["slice"] for r in rows}:
+        def best_of(rows: list[dict]) -> dict[int, tuple[np.ndarray, ...]]:
+            """By slice the stripe, query, row and value of each query's k best entries."""
+            found = {}
+            for part_of in sorted({r["slice"] for r in rows}):
                 mine = [r for r in rows if r["slice"] == part_of]
                 q, r, part = (np.concatenate(x) for x in zip(*map(_read, mine)))
                 of = np.repeat(np.array([x["r_block"] for x in mine]), [len(x["q"]) // 4 for x in mine])
                 best = _best(q, part, (of << 32) + r, k)
-                found.append(np.stack([of[best], q[best], r[best]], 1))
-            found = np.unique(np.concatenate(found), axis=0)
+                found[part_of] = of[best], q[best], r[best], part[best]
+            return found
+
+        def merge(t: pa.Table) -> pa.Table:
+            rows, out = t.to_pylist(), []
+            for part_of, (of, q, r, part) in best_of(rows).items():
+                for block in np.unique(of):
+                    at = of == block
+                    out.append(_row(rows[0]["q_block"], rows[0]["chunk"], int(block), part_of, q[at], r[at], part[at]))
+            return _table(out)
+
+        def run(t: pa.Table) -> pa.Table:
+            rows = t.to_pylist()
+            found = np.unique(np.concatenate([np.stack(x[:3], 1) for x in best_of(rows).values()]), axis=0)
             first = rows[0]
             out = []
             for block in np.unique(found[:, 0]):
@@ -152,7 +165,7 @@ class Search:
                                 np.zeros(len(mine))))
             return _table(out)
 
-        return lists.groupBy("q_block", "chunk").applyInArrow(run, LIST)
+        return self.by_runs(lists, merge, LIST).groupBy("q_block", "chunk").applyInArrow(run, LIST)
 
     def resolve(self, wanted: DataFrame) -> DataFrame:
         """``wanted`` (lists whose ``slice`` is the one to compute) with the partial scores added to ``part``."""
@@ -165,7 +178,8 @@ class Search:
             queries = shape.matrix(row["q_data"], row["q_n"])
             stripe = shape.matrix(row["r_data"], row["r_n"])
             out = []
-            for want in right.to_pylist():
+            for i in range(right.num_rows):
+                want = right.slice(i, 1).to_pylist()[0]
                 q, r, part = _read(want)
                 got = np.empty(len(q), np.int64)
                 for a in range(0, len(q), 1 << 18):
@@ -199,7 +213,7 @@ class Search:
                 .applyInArrow(run, "q_block long, chunk int, score binary"))
 
     def entries(self, cutoffs: DataFrame) -> DataFrame:
-        """Phase 2: every entry at or above the uniform cutoff; ``chunk`` is not used (0)."""
+        """Phase 2: every entry at or above the uniform cutoff."""
         shape, slices = self.shape, self.slices
 
         def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -208,13 +222,11 @@ class Search:
             for row in left.to_pylist():
                 queries = shape.matrix(row["q_data"], row["q_n"])
                 stripe = shape.matrix(row["r_data"], row["r_n"])
-                qs, rs, parts = [], [], []
                 for chunk, score in scores.items():
                     a = chunk * CHUNK
                     part = queries[a:a + CHUNK] @ stripe.T
                     q, r = np.nonzero(part >= uniform(score, slices).astype(part.dtype)[:, None])
-                    qs.append(q + a), rs.append(r), parts.append(part[q, r])
-                out.append(_row(row["q_block"], 0, row["r_block"], row["slice"], *map(np.concatenate, (qs, rs, parts))))
+                    out.append(_row(row["q_block"], chunk, row["r_block"], row["slice"], q + a, r, part[q, r]))
             return _table(out)
 
         sent = V.beside(cutoffs, "r_block", self.rows.count)
@@ -248,15 +260,15 @@ class Search:
             stays = whole | (reach[q] == LOWEST) | (most >= best[q])
             known, total, seen, whole, q = known[stays], total[stays], seen[stays], whole[stays], q[stays]
             r = known % wide
-            out = [_row(first["q_block"], 0, first["r_block"], -1, q, r, total)]
+            out = [_row(first["q_block"], first["chunk"], first["r_block"], -1, q, r, total)]
             for part_of in range(slices):
                 lacks = (seen >> part_of & 1) == 0
                 if lacks.any():
-                    out.append(_row(first["q_block"], 0, first["r_block"], part_of, q[lacks], r[lacks],
+                    out.append(_row(first["q_block"], first["chunk"], first["r_block"], part_of, q[lacks], r[lacks],
                                     np.zeros(int(lacks.sum()))))
             return _table(out)
 
-        pair = ["q_block", "r_block"]
+        pair = ["q_block", "r_block", "chunk"]
         sent = V.beside(cutoffs, "r_block", self.rows.count)
         return entries.groupBy(*pair).cogroup(sent.groupBy(*pair)).applyInArrow(run, LIST)
 
@@ -268,22 +280,38 @@ class Search:
         names = V.beside(names, "q_block", self.queries.count)
 
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
-            rows = left.to_pylist()
-            if not rows:
-                return _table([]).append_column("object", pa.array([], pa.binary()))
+            out, objects = [], []
             wide = np.int64(1) << 32
-            lists = [_read(x) for x in rows]
-            known, total, _ = _sums(np.concatenate([q * wide + r for q, r, _ in lists]),
-                                    np.concatenate([p for _, _, p in lists]))
-            tie = np.frombuffer(right.column("labels")[0].as_py(), "<i8")
-            number = np.frombuffer(right.column("ids")[0].as_py(), "<i8")
-            best = _best(known // wide, total, tie[known % wide], k)
-            out = _by_chunk(rows[0]["q_block"], rows[0]["r_block"], 0, known[best] // wide, known[best] % wide, total[best])
-            objects = [np.stack([number[r], tie[r]]).astype("<i8").tobytes() for _, r, _ in map(_read, out)]
+            for chunk in pc.unique(left.column("chunk")).to_pylist():  # one chunk's entries at a time
+                rows = left.filter(pc.equal(left.column("chunk"), chunk)).to_pylist()
+                lists = [_read(x) for x in rows]
+                known, total, _ = _sums(np.concatenate([q * wide + r for q, r, _ in lists]),
+                                        np.concatenate([p for _, _, p in lists]))
+                tie = np.frombuffer(right.column("labels")[0].as_py(), "<i8")
+                number = np.frombuffer(right.column("ids")[0].as_py(), "<i8")
+                best = _best(known // wide, total, tie[known % wide], k)
+                r = known[best] % wide
+                out.append(_row(rows[0]["q_block"], chunk, rows[0]["r_block"], 0, known[best] // wide, r, total[best]))
+                objects.append(np.stack([number[r], tie[r]]).astype("<i8").tobytes())
             return _table(out).append_column("object", pa.array(objects, pa.binary()))
 
+        def best_of(rows: list[dict]) -> tuple[np.ndarray, ...]:
+            """The query, row, score and object (number, tie) of each query's k best entries."""
+            q, r, score = (np.concatenate(x) for x in zip(*map(_read, rows)))
+            objects = np.concatenate([np.frombuffer(x["object"], "<i8").reshape(2, -1) for x in rows], 1)
+            best = _best(q, score, objects[1], k)
+            return q[best], r[best], score[best], objects[:, best]
+
+        def shorten(t: pa.Table) -> pa.Table:
+            rows = t.to_pylist()
+            *entries, objects = best_of(rows)
+            first = rows[0]
+            out = [_row(first["q_block"], first["chunk"], min(x["r_block"] for x in rows), 0, *entries)]
+            return _table(out).append_column("object", pa.array([objects.tobytes()], pa.binary()))
+
         pair = ["q_block", "r_block"]
         local = parts.groupBy(*pair).cogroup(names.groupBy(*pair)).applyInArrow(run, LIST + ", object binary")
+        local = self.by_runs(local, shorten, LIST + ", object binary")
         queries = self.queries.df.filter("slice = 0").select(
             F.col("block").alias("q_block"), F.col("ids").alias("q_ids"),
             F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {CHUNK}").cast("int"))).alias("chunk"))
@@ -292,11 +320,9 @@ class Search:
             if not left.num_rows:
                 return ANSWER.empty_table()
             rows = left.to_pylist()
-            q, _, score = (np.concatenate(x) for x in zip(*map(_read, rows)))
-            number, tie = np.concatenate([np.frombuffer(x["object"], "<i8").reshape(2, -1) for x in rows], 1)
-            best = _best(q, score, tie, k)
+            q, _, score, (number, _) = best_of(rows)
             ids = np.frombuffer(right.column("q_ids")[0].as_py(), "<i8")
-            return pa.table([ids[q[best]], number[best], score[best]], schema=ANSWER)
+            return pa.table([ids[q], number, score], schema=ANSWER)
 
         return (local.groupBy("q_block", "chunk").cogroup(queries.groupBy("q_block", "chunk"))
                 .applyInArrow(merge, "query long, object long, score long"))

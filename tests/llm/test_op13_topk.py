@@ -1,4 +1,5 @@
 import duckdb
+import numpy as np
 import pytest
 from conftest_llm import SMALL, tally
 from vectors_llm import dot, frame, integers, odd_vectors
@@ -75,3 +76,31 @@ def test_uniform_cutoff_leaves_out_only_rows_that_cannot_be_among_the_best(spark
     sent = sum(len(r["q"]) // 4 for r in entries)
     n_queries = vectors.filter("vec_id % 20 = 0").count()
     assert 5 * n_queries <= sent < 2 * n * n_queries
+
+
+@pytest.mark.parametrize("slices", [1, 2])
+def test_lists_merged_over_runs_of_stripes_and_chunks_of_queries_equal_brute_force(spark, monkeypatch, slices):
+    """No group holds the lists of more than ``FAN`` stripes or runs of them, nor entries of more than one chunk."""
+    monkeypatch.setattr(op, "FAN", 2), monkeypatch.setattr(op, "CHUNK", 4)
+    met, held = [], []
+    by_runs, candidates = op.Search.by_runs, op.Search.candidates
+
+    def runs(self, lists, merge, schema):
+        out = by_runs(self, lists, merge, schema).cache()
+        runs_left = out.groupBy("q_block", "chunk", "slice").agg(F.sum(F.length("q") / 4).alias("n"))
+        met.append((runs_left.agg(F.max("n")).first()[0], self.rows.count, self.k))
+        return out
+
+    def kept(self, entries, cutoffs):
+        out = candidates(self, entries, cutoffs).cache()
+        held.extend((r["chunk"], r["q"]) for r in out.select("chunk", "q").collect())
+        return out
+
+    monkeypatch.setattr(op.Search, "by_runs", runs)
+    monkeypatch.setattr(op.Search, "candidates", kept)
+    rows = odd_vectors()
+    got = search(spark, frame(spark, rows), k=5, slices=slices, query_rows=16, stripe_rows=20)
+    assert tally(got, *COLS) == brute(plain(integers(rows, 64, 9)), k=5)
+    assert len(met) == 2 and all(stripes > 8 and n <= op.FAN * op.CHUNK * k for n, stripes, k in met)
+    assert {c for c, _ in held} > {0}
+    assert all((np.frombuffer(q, "<i4") // op.CHUNK == c).all() for c, q in held)
