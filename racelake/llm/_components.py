@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racelake.llm._blocks import drop, store
+from racelake.llm._blocks import drop, merged, store
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -25,12 +25,12 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     while not _stars(edges):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
+        large = (both.filter("b > a").join(merged(low), "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
         # every node keeps a link to its smallest neighbour
         large = large.union(low.filter("m < a").select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
         large = keep(large, "large-star")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = (large.join(merged(least), "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(least.select("a", F.col("m").alias("b")))
                  .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
         small = keep(small, "small-star")

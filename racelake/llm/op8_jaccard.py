@@ -178,7 +178,7 @@ def _linked(parts: DataFrame, pairs: DataFrame) -> DataFrame:
     left = parts.select(F.col("node").alias("a"), "fragment", F.col("n").alias("na"), F.col("part").alias("pa"))
     right = parts.select(F.col("node").alias("b"), "fragment", F.col("n").alias("nb"), F.col("part").alias("pb"))
     rows = (pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))))
-            .join(right, ["b", "fragment"]).join(left, ["a", "fragment"])
+            .join(B.merged(right), ["b", "fragment"]).join(B.merged(left), ["a", "fragment"])
             .select("a", "b", "na", "nb", "pa", "pb"))
     return (rows.mapInArrow(run, "a long, b long, na long, nb long, both long")
             .groupBy("a", "b", "na", "nb").agg(F.sum("both").alias("both"))
@@ -211,36 +211,35 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
                                        F.min(F.struct((F.col("lone") / F.col("n")).alias("share"), "node", "n", "place"))
                                        .alias("c")).filter("times > 1")
             .select("gram", F.col("c.node").alias("node"), F.col("c.n").alias("n"), F.col("c.place").alias("place")))
-    prefix = B.store(spark, prefix.join(best.select("gram", F.col("node").alias("centre")), "gram"), "prefixes")
+    prefix = B.store(spark, prefix.join(B.merged(best.select("gram", F.col("node").alias("centre"))), "gram"), "prefixes")
     centres = prefix.filter("node = centre").select("gram", "node", "n", "place")
-    pairs = B.store(spark, prefix.alias("x").join(centres.alias("y"), "gram")
+    pairs = B.store(spark, prefix.alias("x").join(B.merged(centres.alias("y")), "gram")
                     .filter("x.node <> y.node").filter(_possible("x", "y"))
                     .select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct(), "pairs")
     links = B.store(spark, _linked(parts, pairs), "star-links")
 
     # Sets that did not link to the centre of a group: compare them with the group's other components.
     label = components(spark, links)
-    member = (prefix.join(links.select(F.col("a").alias("centre"), F.col("b").alias("node"), F.lit(1).alias("ok")),
-                          ["centre", "node"], "left")
-              .join(label, "node", "left")
+    linked = links.select(F.col("a").alias("centre"), F.col("b").alias("node"), F.lit(1).alias("ok"))
+    member = (prefix.join(B.merged(linked), ["centre", "node"], "left").join(B.merged(label), "node", "left")
               .select("gram", "node", "n", "place", "centre",
                       ((F.col("node") == F.col("centre")) | F.col("ok").isNotNull()).alias("ok"),
                       F.coalesce("label", "node").alias("label")))
     member = B.store(spark, member, "members")
     apart = member.filter("not ok")
-    more = (apart.alias("x").join(member.filter("node <> centre").alias("y"), "gram")
+    more = (apart.alias("x").join(B.merged(member.filter("node <> centre").alias("y")), "gram")
             .filter("x.label <> y.label").filter(_possible("x", "y"))
             .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
-    more = B.store(spark, more.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
-                                    ["a", "b"], "left_anti"), "more-pairs")
+    met = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = B.store(spark, more.join(B.merged(met), ["a", "b"], "left_anti"), "more-pairs")
     if not more.isEmpty():
         label = components(spark, links.union(B.store(spark, _linked(parts, more), "more-links")))
 
     lowest = live.groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(B.NULL_ID))).alias("low"))
-    group = (lowest.join(label, "node", "left").select("node", "low", F.coalesce("label", "node").alias("label")))
+    group = (lowest.join(B.merged(label), "node", "left").select("node", "low", F.coalesce("label", "node").alias("label")))
     head = group.groupBy("label").agg(F.min("low").alias("head"))
-    head = group.join(head, "label").select("node", "head")
-    return (sets.select("doc_id", "n_shingles", "node").join(head, "node", "left")
+    head = group.join(B.merged(head), "label").select("node", "head")
+    return (sets.select("doc_id", "n_shingles", "node").join(B.merged(head), "node", "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("head") == B.NULL_ID, F.lit(None)).otherwise(F.coalesce("head", "doc_id"))
                     .cast("long").alias("component_id")))

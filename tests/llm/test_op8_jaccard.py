@@ -2,6 +2,7 @@ import random
 
 from conftest_llm import SMALL, frame, tally, words
 
+from racelake.llm import _components
 from racelake.llm import op8_jaccard as op
 
 COLS = ("doc_id", "n_shingles", "component_id")
@@ -49,3 +50,20 @@ def test_chains_whose_ends_are_not_linked(spark):
 
 def test_empty_table(spark, no_docs):
     assert op.jaccard_components(spark, no_docs).collect() == []
+
+
+def test_no_table_that_grows_with_the_documents_is_broadcast(spark, monkeypatch):
+    plans = []
+    plan = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    for module in (op.B, _components):
+        store = module.store
+        monkeypatch.setattr(module, "store", lambda spark, df, *a, store=store, **k: plan(df) or store(spark, df, *a, **k))
+    rng = random.Random(3)
+    base = [f"t{rng.randrange(10**6)}" for _ in range(200)]
+    rows = [(100 - k, " ".join(base[8 * k:8 * k + 100])) for k in range(12)]
+    rows += [(200 + k, " ".join([*base[:100], *(f"u{k}v{j}" for j in range(14))])) for k in range(30)]
+    found = op.jaccard_components(spark, frame(spark, rows))
+    assert tally(found.collect(), *COLS) == brute(rows)
+    plan(found)
+    assert sum("SortMergeJoin" in p for p in plans) >= 6
+    assert not [p for p in plans if "Broadcast" in p]
